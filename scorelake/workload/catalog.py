@@ -1,3 +1,9 @@
 """Importing this module registers every query."""
 
-from scorelake.workload import nested_queries, relational_queries, scalar_queries  # noqa: F401
+from scorelake.workload import (  # noqa: F401
+    dimension_queries,
+    mutation_queries,
+    nested_queries,
+    relational_queries,
+    scalar_queries,
+)

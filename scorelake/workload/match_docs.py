@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from scorelake.session import fresh_dir
 from scorelake.sources.documents import accepted_raw, raw_projection, split_documents
+from scorelake.sources.tables import Lake
 from scorelake.workload.registry import Tables
 
 
@@ -25,43 +27,32 @@ def _five(n: str, last: str) -> str:
     return f"array({', '.join(_player(n, str(j)) for j in range(4))}, {last})"
 
 
+# per ball: h decides everything, r runs of the batter, e extra runs
 _BALL = f"""
 named_struct(
-  'bowler', if(h % 83 = 0, null, {_player('other', 'h % 5')}),
-  'batter', {_player('side', '(h + 1) % 5')},
-  'non_striker', {_player('side', '(h + 2) % 5')},
-  'runs', named_struct('batter', cast(r as string), 'extras', cast(e as string), 'total', cast(r + e as string)),
-  'review', if(h % 17 = 0, named_struct('by', {_team('side')}, 'decision', 'struck  down', 'type', 'wicket'), null),
-  'extras', case when h % 10 = 0 then map('wides', '1', 'legbyes', '2') when h % 5 = 0 then map('wides', '1') end,
-  'wickets', if(h % 9 = 0, array(named_struct(
-      'player_out', {_player('side', '(h + 1) % 5')},
-      'kind', if(h % 2 = 0, 'caught', 'bowled'),
-      'fielders', case when h % 4 = 0 then array(named_struct('name', {_player('other', '0')}), named_struct('name', {_player('other', '1')}))
-                       when h % 2 = 0 then array(named_struct('name', {_player('other', '0')})) end)), null))
+  'bowler', if(v.h % 83 = 0, null, {_player('s.other', 'v.h % 5')}),
+  'batter', {_player('s.side', '(v.h + 1) % 5')},
+  'non_striker', {_player('s.side', '(v.h + 2) % 5')},
+  'runs', named_struct('batter', cast(v.r as string), 'extras', cast(v.e as string), 'total', cast(v.r + v.e as string)),
+  'review', if(v.h % 17 = 0, named_struct('by', {_team('s.side')}, 'decision', 'struck  down', 'type', 'wicket'), null),
+  'extras', case when v.h % 10 = 0 then map('wides', '1', 'legbyes', '2') when v.h % 5 = 0 then map('wides', '1') end,
+  'wickets', if(v.h % 9 = 0, array(named_struct(
+      'player_out', {_player('s.side', '(v.h + 1) % 5')},
+      'kind', if(v.h % 2 = 0, 'caught', 'bowled'),
+      'fielders', case when v.h % 4 = 0 then array(named_struct('name', {_player('s.other', '0')}), named_struct('name', {_player('s.other', '1')}))
+                       when v.h % 2 = 0 then array(named_struct('name', {_player('s.other', '0')})) end)), null))
+"""
+_INNINGS = f"""
+transform(array(named_struct('i', 0, 'side', a, 'other', b), named_struct('i', 1, 'side', b, 'other', a)), s -> named_struct(
+  'team', {_team('s.side')},
+  'overs', transform(sequence(0, cast(k % 2 as int)), o -> named_struct(
+    'over', cast(o as string),
+    'deliveries', transform(
+      transform(
+        transform(sequence(0, cast(1 + (k + o) % 3 as int)), x -> k * 7 + s.i * 5 + o * 3 + x),
+        h -> named_struct('h', h, 'r', element_at(array(0, 1, 2, 4, 6, 0, 3), cast(h % 7 + 1 as int)), 'e', case when h % 10 = 0 then 3 when h % 5 = 0 then 1 else 0 end)),
+      v -> {_BALL})))))
 """
-
-
-def _substitute(text: str, values: dict[str, str]) -> str:
-    import re
-
-    return re.sub(r"\b(h|r|e|side|other)\b(?!')", lambda m: values[m.group(1)], text)
-
-
-def _innings_sql() -> str:
-    h = "(k * 7 + i * 5 + o * 3 + x)"
-    values = {
-        "h": h,
-        "r": f"element_at(array(0, 1, 2, 4, 6, 0, 3), cast({h} % 7 + 1 as int))",
-        "e": f"(if({h} % 5 = 0, 1, 0) + if({h} % 10 = 0, 2, 0))",
-        "side": "if(i = 0, a, b)",
-        "other": "if(i = 0, b, a)",
-    }
-    ball = _substitute(_BALL, values)
-    overs = (
-        f"transform(sequence(0, cast(k % 2 as int)), o -> named_struct('over', cast(o as string), 'deliveries', "
-        f"transform(sequence(0, cast(1 + (k + o) % 3 as int)), x -> {ball})))"
-    )
-    return f"transform(sequence(0, 1), i -> named_struct('team', {_team('if(i = 0, a, b)')}, 'overs', {overs}))"
 
 
 _INFO = f"""
@@ -104,7 +95,7 @@ def match_texts(t: Tables) -> DataFrame:
     meta = "named_struct('data_version', '1.1.0', 'created', date_format(d, 'yyyy-MM-dd'), 'revision', cast(k % 3 as string))"
     doc = base.selectExpr(
         "k", "m",
-        f"to_json(named_struct('meta', {meta}, 'info', {_INFO}, 'innings', if(k % 50 = 0, null, {_innings_sql()}))) as j",
+        f"to_json(named_struct('meta', {meta}, 'info', {_INFO}, 'innings', if(k % 50 = 0, null, {_INNINGS}))) as j",
     )
     return doc.selectExpr(
         "case when k % 71 = 0 then substr(j, 1, 40) when k % 29 = 0 then concat('[', j, ']') else j end as value",
@@ -118,9 +109,21 @@ def match_raw_all(t: Tables) -> DataFrame:
     return raw_projection(split_documents(match_texts(t)))
 
 
+_LANDED: dict[tuple[str, str], Lake] = {}
+
+
 def match_raw(t: Tables) -> DataFrame:
-    """Raw rows that passed the NOT NULL checks."""
-    return accepted_raw(match_raw_all(t))
+    """The raw table: rows that passed the NOT NULL checks.
+
+    As in any layered load the raw rows are written once and read by all later steps;
+    the folder belongs to this application and these input tables.
+    """
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    lake = _LANDED.get(key)
+    if lake is None or not lake.exists("raw"):
+        lake = _LANDED[key] = Lake(t.spark, fresh_dir(t.spark, "raw"))
+        lake.replace("raw", accepted_raw(match_raw_all(t)))
+    return lake.read("raw")
 
 
 # --- the same data stated in SQL, as common table expressions ---------------------------------

@@ -12,7 +12,8 @@ from scorelake.operators.timeseries import align_outer, attach_correlation, year
 from scorelake.plans import reports
 from scorelake.workload.registry import query, rounded
 
-_REVENUE = "l_extendedprice * (1 - l_discount)"
+# exact decimals, so that rounding cannot depend on the order of additions
+_REVENUE = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
 
 
 # --- D: joins ---------------------------------------------------------------------------------
@@ -43,7 +44,7 @@ def star_join(t):
     star = lookup(star, suppliers, {"l_suppkey": "s_suppkey"}, {"supplier_region": "supplier_region"})
     star = lookup(star, t.part, {"l_partkey": "p_partkey"}, {"p_type": "p_type"})
     return star.groupBy(F.year("o_orderdate").alias("order_year"), "customer_region", "supplier_region", "p_type").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.round(F.sum(F.expr(_REVENUE)), 2).alias("revenue")
+        F.count(F.lit(1)).alias("n_lines"), F.round(F.sum(F.expr(_REVENUE)), 2).cast("double").alias("revenue")
     )
 
 
@@ -113,9 +114,9 @@ def year_over_year_orders(t):
     return year_over_year(monthly, "month", "n", "yoy_pct")
 
 
-@query("anti_join_new_rows", "D8", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("anti_join_new_rows", "D8", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
 def anti_join_new_rows(t):
-    return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    return t.customer.join(t.orders.filter("o_totalprice > 400000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
 _BEST_SQL = """
@@ -337,8 +338,8 @@ def labelled_stack(t):
     return counts.select(F.col("table_name").alias("name"), F.col("row_count").alias("n"))
 
 
-@query("set_difference", "G4", "SELECT l_partkey AS partkey FROM lineitem WHERE l_linenumber = 1 EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+@query("set_difference", "G4", "SELECT l_partkey AS partkey FROM lineitem WHERE l_linenumber = 1 EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity = 50")
 def set_difference(t):
     lines = t.lineitem
     first = lines.filter("l_linenumber = 1").select(F.col("l_partkey").alias("partkey"))
-    return first.subtract(lines.filter("l_returnflag = 'R'").select("l_partkey"))
+    return first.subtract(lines.filter("l_quantity = 50").select("l_partkey"))
