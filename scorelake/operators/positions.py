@@ -41,30 +41,30 @@ def number_rows(df: DataFrame, order: list, as_: str = "row_id", start: Column |
 
 
 def number_in_groups(df: DataFrame, keys: list[str], order: list, bucket: Column, as_: str = "row_id") -> DataFrame:
-    """``ROW_NUMBER`` per ``keys``; ``bucket`` must never decrease along ``order``."""
-    bucketed = df.withColumn("_bucket", bucket)
-    local = bucketed.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order)))
-    sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    descending = _is_descending(order[0])
-    along = F.col("_bucket").desc_nulls_first() if descending else F.col("_bucket").asc_nulls_last()
-    before = Window.partitionBy(*keys).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return _join_null_safe(local, offsets, [*keys, "_bucket"]).withColumn(
-        as_, (F.col("_local") + F.col("_before")).cast("long")
-    ).drop("_bucket", "_local", "_before")
+    """``ROW_NUMBER`` per ``keys``; ``bucket`` must never decrease along ``order``.
+
+    The window and the join share the partitioning by ``_k``, so the rows are shuffled once.
+    """
+    bucketed = _with_bucket(df, keys, bucket)
+    local = bucketed.withColumn("_local", F.row_number().over(Window.partitionBy("_k").orderBy(*order)))
+    sizes = bucketed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    along = F.col("_k._bucket").desc_nulls_first() if _is_descending(order[0]) else F.col("_k._bucket").asc_nulls_last()
+    before = Window.partitionBy(*(F.col(f"_k.{k}") for k in keys)).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_k", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return local.join(offsets, "_k").withColumn(as_, (F.col("_local") + F.col("_before")).cast("long")).drop("_k", "_local", "_before")
 
 
 def lag_in_groups(df: DataFrame, keys: list[str], order: str, value: str, bucket: Column, as_: str) -> DataFrame:
     """``LAG(value)`` per ``keys`` in ascending ``order``; ``bucket`` must never decrease along it."""
-    bucketed = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order)
+    bucketed = _with_bucket(df, keys, bucket)
+    inside = Window.partitionBy("_k").orderBy(order)
     local = bucketed.withColumns({"_lag": F.lag(value).over(inside), "_first": F.row_number().over(inside) == 1})
-    last = bucketed.groupBy(*keys, "_bucket").agg(F.max_by(value, order).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_bucket")
-    carried = last.withColumn("_carry", F.lag("_last").over(across)).drop("_last")
-    return _join_null_safe(local, carried, [*keys, "_bucket"]).withColumn(
+    last = bucketed.groupBy("_k").agg(F.max_by(value, order).alias("_last"))
+    across = Window.partitionBy(*(F.col(f"_k.{k}") for k in keys)).orderBy(F.col("_k._bucket").asc_nulls_first())
+    carried = last.select("_k", F.lag("_last").over(across).alias("_carry"))
+    return local.join(carried, "_k").withColumn(
         as_, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))
-    ).drop("_bucket", "_lag", "_first", "_carry")
+    ).drop("_k", "_lag", "_first", "_carry")
 
 
 def rolling_in_groups(
@@ -109,11 +109,6 @@ def _is_descending(order) -> bool:
     return isinstance(order, Column) and " DESC" in str(order)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on equal or both-NULL keys, keeping the left columns."""
-    other = right.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), *(c for c in right.columns if c not in keys))
-    on = None
-    for i, k in enumerate(keys):
-        term = F.col(k).eqNullSafe(F.col(f"_r{i}"))
-        on = term if on is None else on & term
-    return left.join(other, on).drop(*(f"_r{i}" for i in range(len(keys))))
+def _with_bucket(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    """Key and bucket as one struct column; a struct is never NULL itself, so NULL keys join like others."""
+    return df.withColumn("_k", F.struct(*keys, bucket.alias("_bucket")))

@@ -10,6 +10,7 @@ from scorelake.functions.ball import form_status, role_type
 from scorelake.functions.casts import ratio
 from scorelake.functions.dates import as_of_literal
 from scorelake.operators.positions import best_by, number_in_groups, number_rows, rolling_in_groups
+from scorelake.session import pinned
 from scorelake.sources.tables import typed_empty
 
 PLAYER_PERFORMANCE = (
@@ -123,7 +124,8 @@ def player_performance(players: DataFrame, deliveries: DataFrame, matches: DataF
     )
     keys = ["player_name", "country"]
     order = [F.col("_day").asc_nulls_last(), F.col("match_type_number").asc_nulls_last()]
-    placed = number_in_groups(filled, keys, order, F.trunc("_day", "month"), "_pos")
+    # read twice below, so it is written out once
+    placed = number_in_groups(pinned(filled), keys, order, F.trunc("_day", "month"), "_pos")
     rolled = rolling_in_groups(placed, keys, "_pos", 5, {"_sum": F.sum("runs_scored"), "_cnt": F.count("runs_scored")})
     shaped = rolled.withColumns(
         {

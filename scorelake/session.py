@@ -49,3 +49,9 @@ def pinned(df):
     """Cut the lineage so that row positions computed above stay the same on every later read."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df):
+    """Use every core when a small input has fewer splits than the cluster has cores; leave larger inputs alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

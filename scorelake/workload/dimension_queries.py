@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scorelake.operators.upsert import missing_members
 from scorelake.plans import star, visuals
 from scorelake.sources.tables import date_list
-from scorelake.workload.match_docs import match_raw, with_all, with_deliveries, with_matches, with_players
+from scorelake.workload.match_docs import landed, match_raw, with_all, with_deliveries, with_matches, with_players
 from scorelake.workload.registry import query, titled
 
 _RESULT = "CASE WHEN winner IS NOT NULL THEN 'Result Declared' WHEN result = 'tie' THEN 'Tie' WHEN result = 'no result' THEN 'No Result' ELSE result END"
@@ -64,29 +64,35 @@ def with_star(body: str) -> str:
     return with_all(body, DETAIL_SQL, DIMS_SQL, PLAYER_DIM_SQL, FACT_SQL, DELIVERY_FACT_SQL, BRIDGE_SQL)
 
 
-def build_star(t) -> dict:
-    """Clean tables, dimensions and facts, lazily."""
+def _clean(t) -> tuple:
+    """The clean tables, written when first asked for."""
     raw = match_raw(t)
-    matches, players, deliveries = star.clean_match_detail(raw), star.clean_players(raw, cleaned=False), star.clean_deliveries(raw)
-    deliveries = deliveries.filter("match_type_number is not null")
+    matches = landed(t, "clean_match", lambda: star.clean_match_detail(raw))
+    players = landed(t, "clean_player", lambda: star.clean_players(raw, cleaned=False))
+    deliveries = landed(t, "clean_delivery", lambda: star.clean_deliveries(raw).filter("match_type_number is not null"))
+    return matches, players, deliveries
+
+
+def _dims_only(t):
+    return _clean(t)[:2]
+
+
+def build_star(t) -> dict:
+    """Clean tables and dimensions, read back once written, and the facts, lazily."""
+    matches, players, deliveries = _clean(t)
     dims = {
-        "team_dim": star.team_dim(matches),
-        "venue_dim": star.venue_dim(matches),
-        "match_type_dim": star.match_type_dim(matches),
-        "date_dim": star.date_dim(matches, "event_date"),
+        "team_dim": landed(t, "team_dim", lambda: star.team_dim(matches)),
+        "venue_dim": landed(t, "venue_dim", lambda: star.venue_dim(matches)),
+        "match_type_dim": landed(t, "match_type_dim", lambda: star.match_type_dim(matches)),
+        "date_dim": landed(t, "date_dim", lambda: star.date_dim(matches, "event_date")),
     }
-    dims["player_dim"] = star.player_dim(players, dims["team_dim"])
+    dims["player_dim"] = landed(t, "player_dim", lambda: star.player_dim(players, dims["team_dim"]))
     return {
         "matches": matches, "players": players, "deliveries": deliveries, **dims,
         "match_fact": star.match_fact(matches, deliveries, dims), "delivery_fact": star.delivery_fact(deliveries, dims),
     }
 
 
-def _dims_only(t):
-    raw = match_raw(t)
-    return star.clean_match_detail(raw), star.clean_players(raw, cleaned=False)
-
-
 _DETAIL = [
     "match_type_number", "event_name", "match_stage", "event_date", "event_year", "event_month", "event_day", "match_type", "season", "team_type", "overs", "city",
     "venue", "gender", "first_team", "second_team", "match_result", "winner", "match_referee", "reserve_umpires", "tv_umpires", "first_umpire", "second_umpire",
@@ -234,8 +240,17 @@ def incremental_match_facts(t):
 # --- dashboard --------------------------------------------------------------------------------
 
 
-def _bridged(t):
+def _with_facts(t) -> dict:
+    """The star schema with its facts written, as the dashboard reads it."""
     parts = build_star(t)
+    return parts | {
+        "match_fact": landed(t, "match_fact", lambda: parts["match_fact"]),
+        "delivery_fact": landed(t, "delivery_fact", lambda: parts["delivery_fact"]),
+    }
+
+
+def _bridged(t):
+    parts = _with_facts(t)
     return visuals.team_of_matches(parts["match_fact"], parts["delivery_fact"], parts["team_dim"]), parts
 
 
@@ -250,7 +265,7 @@ def team_match_counts(t):
     FROM people JOIN bridged USING (team_id) GROUP BY 1"""),
 )
 def player_ball_counts(t):
-    parts = build_star(t)
+    parts = _with_facts(t)
     return visuals.player_ball_counts(parts["delivery_fact"], parts["match_fact"], parts["player_dim"])
 
 
@@ -276,12 +291,12 @@ def team_cities(t):
 
 @query("match_slicer", "P9", with_star("SELECT match_id FROM match_fact WHERE toss_decision IN ('Bat')"))
 def match_slicer(t):
-    return visuals.match_choices(visuals.slice_by(build_star(t)["match_fact"], toss_decision=["Bat"]))
+    return visuals.match_choices(visuals.slice_by(_with_facts(t)["match_fact"], toss_decision=["Bat"]))
 
 
 @query("date_picker", "P10", with_star("SELECT full_dt, 1::BIGINT AS dates FROM match_fact JOIN days USING (date_id) WHERE full_dt >= DATE '1996-01-01' AND full_dt <= DATE '1999-12-31' GROUP BY 1"))
 def date_picker(t):
-    parts = build_star(t)
+    parts = _with_facts(t)
     return visuals.date_choices(parts["match_fact"], parts["date_dim"], "1996-01-01", "1999-12-31")
 
 
@@ -290,4 +305,4 @@ def date_picker(t):
     with_star("SELECT toss_decision, SUM(total_score_by_team_a)::BIGINT AS sum_total_score_by_team_a, SUM(wicket_lost_by_team_b)::BIGINT AS sum_wicket_lost_by_team_b, COUNT(winner_team_id) AS count_winner_team_id FROM match_fact GROUP BY 1"),
 )
 def fact_default_summary(t):
-    return visuals.summarise(build_star(t)["match_fact"], "match_fact", ["toss_decision"], ["total_score_by_team_a", "wicket_lost_by_team_b", "winner_team_id"])
+    return visuals.summarise(_with_facts(t)["match_fact"], "match_fact", ["toss_decision"], ["total_score_by_team_a", "wicket_lost_by_team_b", "winner_team_id"])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from scorelake.session import fresh_dir
+from scorelake.session import fresh_dir, spread
 from scorelake.sources.documents import accepted_raw, raw_projection, split_documents
 from scorelake.sources.tables import Lake
 from scorelake.workload.registry import Tables
@@ -88,7 +88,9 @@ named_struct(
 
 def match_texts(t: Tables) -> DataFrame:
     """``value`` (JSON text), ``file_name`` and ``modified_ts`` per order."""
-    base = t.orders.selectExpr(
+    # a few narrow columns grow into whole documents here, so the rows are spread first
+    narrow = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    base = spread(narrow).selectExpr(
         "o_orderkey as k", "o_custkey as c", "o_custkey % 20 as a", "(o_custkey + 1 + o_orderkey % 19) % 20 as b",
         "cast(o_orderdate as date) as d", "o_orderdate as m", "o_orderpriority as pr",
     )
@@ -112,18 +114,23 @@ def match_raw_all(t: Tables) -> DataFrame:
 _LANDED: dict[tuple[str, str], Lake] = {}
 
 
-def match_raw(t: Tables) -> DataFrame:
-    """The raw table: rows that passed the NOT NULL checks.
+def landed(t: Tables, name: str, build) -> DataFrame:
+    """The table ``name`` of this application and these inputs, written by ``build()`` when first asked for.
 
-    As in any layered load the raw rows are written once and read by all later steps;
-    the folder belongs to this application and these input tables.
+    A layered load writes each layer once and later steps read it; so do the queries.
     """
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     lake = _LANDED.get(key)
-    if lake is None or not lake.exists("raw"):
-        lake = _LANDED[key] = Lake(t.spark, fresh_dir(t.spark, "raw"))
-        lake.replace("raw", accepted_raw(match_raw_all(t)))
-    return lake.read("raw")
+    if lake is None:
+        lake = _LANDED[key] = Lake(t.spark, fresh_dir(t.spark, "layers"))
+    if not lake.exists(name):
+        lake.replace(name, build())
+    return lake.read(name)
+
+
+def match_raw(t: Tables) -> DataFrame:
+    """The raw table: rows that passed the NOT NULL checks."""
+    return landed(t, "raw", lambda: accepted_raw(match_raw_all(t)))
 
 
 # --- the same data stated in SQL, as common table expressions ---------------------------------
@@ -213,7 +220,9 @@ deliveries AS (
 
 
 def with_matches(body: str, *more: str) -> str:
-    return f"WITH {', '.join([MATCHES_SQL, *more])} {body}"
+    own = body.strip()
+    joined = ", ".join([MATCHES_SQL, *more])
+    return f"WITH {joined}, {own[5:]}" if own.startswith("WITH ") else f"WITH {joined} {own}"
 
 
 def with_players(body: str, *more: str) -> str:

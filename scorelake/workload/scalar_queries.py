@@ -172,7 +172,7 @@ def delivery_flags(t):
 @query(
     "safe_ratios", "C3 C4 C20 C28 C29",
     f"""
-    SELECT c_custkey, {rounded('c_acctbal / nullif(c_nationkey, 0)')} AS per_nation, {rounded('c_nationkey * 100.0 / 25', 1)} AS pct,
+    SELECT c_custkey, {rounded('c_acctbal / nullif(c_nationkey, 0)', 7)} AS per_nation, {rounded('c_nationkey * 100.0 / 25', 1)} AS pct,
       coalesce(nullif(c_nationkey, 0), -1) AS nation_or_missing, c_acctbal > 1000 AS above_limit,
       CASE WHEN c_nationkey <= 15 THEN 'Green (Fresh)' WHEN c_nationkey <= 30 THEN 'Yellow (Stale)' ELSE 'Red (Delayed)' END AS light
     FROM customer
@@ -182,7 +182,7 @@ def safe_ratios(t):
     nation = F.col("c_nationkey")
     rows = t.customer.withColumn("limit", F.lit(1000.0))
     return above(rows, "c_acctbal", "limit", "above_limit").select(
-        "c_custkey", F.round(ratio(F.col("c_acctbal"), nation), 2).alias("per_nation"), percent(nation, F.lit(25), 1).alias("pct"),
+        "c_custkey", F.round(ratio(F.col("c_acctbal"), nation), 7).alias("per_nation"), percent(nation, F.lit(25), 1).alias("pct"),
         F.coalesce(F.nullif(nation, F.lit(0)), F.lit(-1)).alias("nation_or_missing"), "above_limit", freshness_class(nation).alias("light"),
     )
 
