@@ -20,6 +20,9 @@ def build_session(master: str | None = None, app: str = "scorelake", shuffle_par
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # one JVM does all the work; on a cluster the submit settings decide
+            builder = builder.config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
