@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorelake.fixed_values import CLUSTER_KEYS
-
 from scorelake.operators.quality import null_in
 from scorelake.operators.upsert import absent_facts, insert_missing
 from scorelake.plans import bronze, gold, marts, monitor, silver, star
@@ -92,17 +91,26 @@ def _extend(lake: Lake, name: str, candidates, key: str, columns: list[str]) ->
         lake.append(name, star.with_ids(candidates, key, columns))
 
 
+def _without_facts(lake: Lake, fact: str, rows):
+    """Rows of matches that have no fact yet, found before the star join."""
+    if not lake.exists(fact):
+        return rows
+    return absent_facts(lake.read(fact).select(F.col("match_id").alias("match_type_number")), rows, "match_type_number")
+
+
 def run_star(spark, source: str, root: str) -> Lake:
     """Files to clean tables, dimensions and facts; ids stay the same from run to run."""
     lake = Lake(spark, root)
     stream_files(lake, source, lake.path("_checkpoints/raw"))
     raw = lake.read("raw")
-    for name, rows in (
-        ("clean_match", star.clean_match_detail(raw)),
-        ("clean_player", star.clean_players(raw, cleaned=False)),
-        ("clean_delivery", star.clean_deliveries(raw)),
+    for name, make in (
+        ("clean_match", star.clean_match_detail),
+        ("clean_player", lambda rows: star.clean_players(rows, cleaned=False)),
+        ("clean_delivery", star.clean_deliveries),
     ):
-        lake.append(name, absent_facts(lake.read(name, rows.schema), rows, "stg_file_hashkey"))
+        # documents already loaded are dropped before they are parsed
+        fresh = absent_facts(lake.read(name), raw, "stg_file_hashkey") if lake.exists(name) else raw
+        lake.append(name, make(fresh))
 
     matches, players, deliveries = (lake.read(n) for n in ("clean_match", "clean_player", "clean_delivery"))
     _extend(lake, "team_dim", star.team_names(matches), "team_id", ["team_name"])
@@ -118,8 +126,8 @@ def run_star(spark, source: str, root: str) -> Lake:
     lake.append("date_dim", ids.select("date_id", "full_dt", *(v.alias(n) for n, v in parts.items())))
 
     dims = {n: lake.read(n) for n in ("team_dim", "player_dim", "venue_dim", "match_type_dim", "date_dim")}
-    facts = star.match_fact(matches, deliveries, dims)
-    lake.append("match_fact", star.new_match_facts(lake.read("match_fact", facts.schema), facts))
-    balls = star.delivery_fact(deliveries, dims)
-    lake.append("delivery_fact", star.new_delivery_facts(lake.read("delivery_fact", balls.schema), balls))
+    todo = _without_facts(lake, "match_fact", matches)
+    played = deliveries.join(todo.select("match_type_number").distinct(), "match_type_number", "left_semi")
+    lake.append("match_fact", star.match_fact(todo, played, dims))
+    lake.append("delivery_fact", star.delivery_fact(_without_facts(lake, "delivery_fact", deliveries), dims))
     return lake

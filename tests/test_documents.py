@@ -87,3 +87,22 @@ def test_batch_load_goes_by_content(spark, tmp_path):
     write(tmp_path / "in", "a.json", document(2))
     load_unseen(lake, str(tmp_path / "in"))
     assert lake.read("raw").count() == 2
+
+
+def test_periodic_batches(spark, tmp_path):
+    import time
+
+    from scorelake.streaming.changes import append_into, fan_out, run_every, stream_status, table_stream
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.append("src", spark.range(10))
+    query = run_every(table_stream(lake, "src"), fan_out(append_into(lake, "dst")), str(tmp_path / "check"), minutes=1 / 60)
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not lake.exists("dst"):
+            time.sleep(0.5)
+        query.processAllAvailable()
+        assert lake.read("dst").count() == 10
+        assert stream_status(query)["active"]
+    finally:
+        query.stop()
