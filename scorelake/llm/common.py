@@ -50,3 +50,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh_name(df: DataFrame, wish: str) -> str:
+    """A column name that the table does not use yet."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish = f"_{wish}"
+    return wish
