@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import shards, simhash, topk, warc
+from scorelake.llm import shards, simhash, topk, toxicity, warc
 from scorelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", "near_ids", "near_toxic", "near_cosine")
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -65,6 +70,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op8_exact_topk": op8_exact_topk,
     "op10_sharding": op10_sharding,
 }
