@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 
 from scorelake.llm.common import fresh_name, stored
 
-PER_CLASS = 3000
+PER_CLASS = 2000
 TERMS = 1024
 MIN_CHI2 = 30.0
 NEIGHBOURS = 15
 BLOCK = 64
+STEMS = (5, 6, 7)
+RATES = (1 / 400, 1 / 200, 1 / 100, 1 / 50, 1 / 25)
 PRIOR = 1.0  # weight of the base rate among the votes
 REJECT_FROM = 0.3
 _TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -37,6 +39,26 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "replace").translate(_TO_SPACE).split()
 
 
+def features(text: str | None, known: dict[bytes, int] | None = None, bases: set[bytes] | None = None) -> Counter:
+    """Counts of words and stems (their first ``STEMS`` bytes), and one term ``stem@level`` for each of ``RATES`` that a stem met twice or more reaches.
+
+    The levels let a cosine, which knows no lengths, tell a text full of a stem from one that
+    happens to hold it. With ``known`` only its terms are counted, under their numbers; ``bases`` are their stems.
+    """
+    all_words = words(text)
+    found: Counter = Counter()
+    for word, n in Counter(all_words).items():
+        for stem in (word, *[word[:size] for size in STEMS if size < len(word)]):
+            if bases is None or stem in bases:
+                found[stem] += n
+    for stem, n in list(found.items()):
+        if n > 1:
+            for level, rate in enumerate(RATES):
+                if n >= rate * len(all_words):
+                    found[b"%s@%d" % (stem, level)] = 1
+    return found if known is None else Counter({known[t]: n for t, n in found.items() if t in known})
+
+
 def held_out(key: str = "doc_id") -> Column:
     """The rows whose labels no model may see; a null key is never held out."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -126,12 +148,13 @@ class Index:
 
 def _counted(docs: DataFrame, terms: list[str], *keep: str, text: str = "text") -> DataFrame:
     """The kept columns with the ids and counts of the known terms in each whole text."""
-    place = {t.encode(): i for i, t in enumerate(terms)}
+    place = {t.encode("latin-1"): i for i, t in enumerate(terms)}
+    bases = {t.rpartition(b"@")[0] or t for t in place}
     schema = docs.select(*keep, F.array(F.lit(0)).alias("terms"), F.array(F.lit(0)).alias("counts")).schema
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [sorted(Counter(place[w] for w in words(t) if w in place).items()) for t in batch.pop("__text")]
+            found = [sorted(features(t, place, bases).items()) for t in batch.pop("__text")]
             yield batch.assign(terms=[[t for t, _ in f] for f in found], counts=[[n for _, n in f] for f in found])
 
     return docs.select(*keep, F.col(text).alias("__text")).mapInPandas(count, schema)
@@ -154,16 +177,18 @@ def _chosen_terms(sample: DataFrame, positive: int, negative: int) -> list[str]:
         return []
 
     def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # one count per term and label from each batch; bytes as characters, since a stem may end within one
         for batch in batches:
+            seen: Counter = Counter()
             for toxic, text in zip(batch.toxic, batch.text, strict=True):
-                terms = sorted({w.decode("utf-8", "replace") for w in words(text)})
-                yield pd.DataFrame({"term": terms, "toxic": toxic})
+                seen.update((t, toxic == 1) for t in features(text))
+            yield pd.DataFrame([(t.decode("latin-1"), n * one, n * (not one)) for (t, one), n in seen.items()], columns=["term", "pos", "neg"])
 
     a, b, n = F.col("pos"), F.col("neg"), float(positive + negative)
     c, d = positive - a, negative - b
     chi2 = n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * float(positive) * float(negative))
-    counted = sample.select("toxic", "text").mapInPandas(distinct, "term string, toxic int").groupBy("term").agg(
-        F.sum((F.col("toxic") == 1).cast("double")).alias("pos"), F.sum((F.col("toxic") != 1).cast("double")).alias("neg")
+    counted = sample.select("toxic", "text").mapInPandas(distinct, "term string, pos long, neg long").groupBy("term").agg(
+        F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg")
     )
     strong = counted.where((a + b < n) & (a / float(positive) > b / float(negative))).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
     return [r.term for r in strong.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
