@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import shards, simhash, topk, toxicity, warc
+from scorelake.llm import line_dedup, shards, simhash, topk, toxicity, warc
 from scorelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "score", "predicted", "near_ids", "near_toxic", "near_cosine")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"), dropped="n_dropped").select("doc_id", "n_dropped", "text")
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_line_dedup": op5_line_dedup,
     "op8_exact_topk": op8_exact_topk,
     "op10_sharding": op10_sharding,
 }
