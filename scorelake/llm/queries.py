@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import line_dedup, shards, simhash, topk, toxicity, warc
+from scorelake.llm import decontaminate, line_dedup, shards, simhash, topk, toxicity, warc
 from scorelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"), dropped="n_dropped").select("doc_id", "n_dropped", "text")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id")
+    return found.select("doc_id", (F.size("leaked_items") > 0).alias("leaked"), "leaked_items", "leaked_shares")
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
+    "op6_decontamination": op6_decontamination,
     "op8_exact_topk": op8_exact_topk,
     "op10_sharding": op10_sharding,
 }
