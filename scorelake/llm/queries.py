@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import decontaminate, line_dedup, shards, simhash, topk, toxicity, warc
+from scorelake.llm import decontaminate, line_dedup, sentencepiece_codec, shards, simhash, topk, toxicity, warc
 from scorelake.llm.common import table
 
+TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_codec.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
+    found = sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), model, "doc_id")
+    return found.select("doc_id", F.size("ids").alias("n_tokens"), "ids", "decoded")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -77,6 +85,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
