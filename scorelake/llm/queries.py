@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import decontaminate, line_dedup, sentencepiece_codec, shards, simhash, topk, toxicity, warc
+from scorelake.llm import decontaminate, line_dedup, pii, sentencepiece_codec, shards, simhash, topk, toxicity, warc
 from scorelake.llm.common import table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -79,6 +79,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -92,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op8_exact_topk": op8_exact_topk,
+    "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {"op2_warc": OP2.strip(), "op8_exact_topk": OP8.strip()}
