@@ -91,7 +91,10 @@ def _base(found: DataFrame) -> DataFrame:
 
 
 def _occurrences(found: DataFrame, base: DataFrame) -> DataFrame:
-    """uid, start, end, pattern, instance and the kind of the base span that a candidate overlaps (null outside)."""
+    """uid, start, end, pattern, instance and the kind of the base span that begins in a candidate (null outside all spans).
+
+    Candidates in the rest of a base span, and those with no word before them, say nothing.
+    """
     rows = found.where(F.size("candidates") > 0).select("uid", F.posexplode("candidates").alias("i", "c"))
     rows = _placed(rows.select("uid", "i", "c.match", F.col("c.before.gap").alias("gap"), F.col("c.before.word").alias("word")), "uid")
     head = F.length(F.regexp_extract("match", r"^[\"'(\[{<]*", 0))
@@ -102,7 +105,10 @@ def _occurrences(found: DataFrame, base: DataFrame) -> DataFrame:
     rows = rows.withColumn("pattern", F.concat_ws(" ", F.regexp_replace("word", "[0-9]", "9"), shape))
     spans = base.groupBy("uid").agg(F.collect_list(F.struct("start", "end", "order", "kind")).alias("spans"))  # one document's
     within = F.filter("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return rows.join(spans, "uid", "left").select("uid", "start", "end", "pattern", "instance", F.array_min(F.transform(within, lambda s: F.struct(s["order"], s["kind"])))["kind"].alias("kind"))
+    begun = F.filter("within", lambda s: s["start"] >= F.col("start"))
+    kind = F.array_min(F.transform(begun, lambda s: F.struct(s["order"], s["kind"])))["kind"]
+    joined = rows.where("word <> ''").join(spans, "uid", "left").withColumn("within", within).withColumn("kind", kind)
+    return joined.where("kind IS NOT NULL OR within IS NULL OR size(within) = 0").select("uid", "start", "end", "pattern", "instance", "kind")
 
 
 def learn_patterns(occurrences: DataFrame) -> DataFrame:
