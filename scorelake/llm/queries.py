@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import decontaminate, line_dedup, pii, sentencepiece_codec, shards, simhash, topk, toxicity, warc
-from scorelake.llm.common import table
+from scorelake.llm import decontaminate, line_dedup, pii, sentencepiece_codec, shards, simhash, token_file, topk, toxicity, warc
+from scorelake.llm.common import new_folder, table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.size("leaked_items") > 0).alias("leaked"), "leaked_items", "leaked_shares")
 
 
+def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-ids")
+    files = token_file.write_token_files(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", folder, end_id=2)
+    found = token_file.read_token_files(spark, files, folder)
+    return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -95,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_token_file": op7_token_file,
     "op8_exact_topk": op8_exact_topk,
     "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
