@@ -1,11 +1,11 @@
 """Line dedup with a tree of line templates, in DataFrame operations only.
 
 A line's fields that hold a digit are masked at once. The tree has fixed depth: token count,
-then the first ``LEADING`` masked tokens; below that, leaves are told apart by thirds of the
-line, so that two lines that differ in a few neighbouring fields still meet in the leaf of a
-third they share. In each leaf the variant seen in most documents is the seed; variants that
-agree with it at ``SIMILAR`` of all positions or more become one template, whose differing
-fields are variable.
+then the first ``LEADING`` masked tokens; nodes that hold several variants part into leaves by
+thirds of the line, so that two lines that differ in a few neighbouring fields still meet in
+the leaf of a third they share. In each leaf the variant seen in most documents is the seed;
+variants whose segments (``SEGMENTS`` to a line) agree with the seed's over ``SIMILAR`` of all
+tokens or more become one template, in which what differs is variable.
 
 A template recurs if at least ``MIN_DOCUMENTS`` documents hold it, and at least half of them
 in surroundings of their own, both before and after the line. Copies of one document have the
@@ -24,40 +24,57 @@ LEADING = 3
 SIMILAR = 0.8
 MIN_DOCUMENTS = 5
 MIN_TOKENS = 3
+SEGMENTS = 10
+_LOW = (1 << 32) - 1
 _FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 
-def _identity(key: str, text: str) -> Column:
-    """A row's identity: its key and whole text. Repeated rows share it, so they count once and fare alike."""
-    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("\u0000")), F.lit("\n"), F.col(text)).cast("binary"))
+def _identity(key: str, text: str) -> list[Column]:
+    """A row's identity in 96 bits: hashes of its key and whole text. Repeated rows share it, so they count once and fare alike."""
+    of = F.coalesce(F.col(key).cast("string"), F.lit("\u0000")), F.col(text)
+    return [F.xxhash64(*of).alias("row"), F.hash(*of).alias("row_check")]
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """row, pos, variant, leaves and masked for every line with a token."""
-    exploded = docs.where(F.col(text).isNotNull()).select(_identity(key, text).alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    """row, row_check, pos, variant, node, count and the hashed segments of every line with a token.
+
+    A line is known by 64-bit hashes from here on. ``SEGMENTS`` hashes stand for its tokens;
+    they are packed two by two, so that plain aggregates can carry them.
+    """
+    exploded = docs.where(F.col(text).isNotNull()).select(*_identity(key, text), F.posexplode(F.split(text, "\n")).alias("pos", "line")).where(F.col("line").rlike(r"\S"))
     masked = F.trim(F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", _FIELD, "<*>")).otherwise(F.col("line")))
-    tokens = exploded.select("row", "pos", F.split(masked, r"\s+").alias("tokens")).where(F.element_at("tokens", -1) != "")
-    count, third = F.size("tokens"), F.ceil(F.size("tokens") / 3).cast("int")
-    leaf = F.xxhash64(count, F.slice("tokens", 1, LEADING))
-    leaves = [F.xxhash64(leaf, F.lit(i), F.slice("tokens", F.lit(1) + third * i, third)) for i in range(3)]
-    joined = F.array_join("tokens", " ")
-    return tokens.select("row", "pos", F.md5(joined.cast("binary")).alias("variant"), count.alias("count"), F.array(*leaves).alias("leaves"), joined.alias("masked"))
+    tokens = exploded.select("row", "row_check", "pos", masked.alias("masked")).withColumn("tokens", F.split("masked", " "))
+    count = F.size("tokens")
+    edges = [F.floor(count * i / SEGMENTS).cast("int") for i in range(SEGMENTS + 1)]
+    hashes = [F.hash(F.slice("tokens", edges[i] + 1, edges[i + 1] - edges[i])).cast("bigint") for i in range(SEGMENTS)]
+    packed = [F.shiftleft(hashes[2 * i], 32).bitwiseOR(hashes[2 * i + 1].bitwiseAND(_LOW)).alias(f"p{i}") for i in range(SEGMENTS // 2)]
+    node = F.xxhash64(count, F.slice("tokens", 1, LEADING))
+    return tokens.select("row", "row_check", "pos", F.xxhash64("masked").alias("variant"), node.alias("node"), count.alias("count"), *packed)
 
 
 def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
     """variant, template: the variants that take the template of a seed."""
-    placed = variants.select("variant", "docs", F.explode(F.array_distinct("leaves")).alias("leaf"))
+    nodes = variants.groupBy("node").agg(F.count("*").alias("n"), F.sum("docs").alias("total"))
+    nodes = nodes.where((F.col("n") > 1) & (F.col("total") >= MIN_DOCUMENTS)).select("node")
+    shared = variants.join(nodes, "node", "left_semi")
+    packed = [f"p{i}" for i in range(SEGMENTS // 2)]
+    segments = lines.select("variant", *packed).join(shared.select("variant"), "variant", "left_semi").groupBy("variant").agg(*[F.min(p).alias(p) for p in packed])
+    shared = stored(shared.join(segments, "variant"), "lines-shared")
+    thirds = [packed[:2], packed[2:3], packed[3:]]
+    leaves = F.array(*[F.xxhash64(F.lit(i), "node", *third) for i, third in enumerate(thirds)])
+    placed = shared.select("variant", "docs", F.explode(leaves).alias("leaf"))
     seeds = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("docs").alias("total"), F.max(F.struct("docs", "variant")).alias("seed"))
     seeds = seeds.where((F.col("n") > 1) & (F.col("total") >= MIN_DOCUMENTS)).select("leaf", "seed")
     pairs = placed.join(seeds, "leaf").where(F.col("variant") != F.col("seed.variant")).select("variant", "seed").distinct()
-    pairs = stored(pairs, "lines-pairs")
-    wanted = pairs.select("variant").union(pairs.select("seed.variant")).distinct()
-    texts = lines.join(wanted, "variant", "left_semi").groupBy("variant").agg(F.min("masked").alias("masked"))
-    mine = texts.select("variant", F.split("masked", " ").alias("a"))
-    theirs = texts.select(F.col("variant").alias("of"), F.split("masked", " ").alias("b"))
-    both = pairs.join(mine, "variant").join(theirs, F.col("seed.variant") == F.col("of"))
-    equal = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
-    similar = both.where((F.size("a") == F.size("b")) & (equal >= SIMILAR * F.size("a")))
+    theirs = shared.select(F.col("variant").alias("of"), F.col("count").alias("of_count"), *[F.col(p).alias(f"of_{p}") for p in packed])
+    both = pairs.join(shared, "variant").join(theirs, F.col("seed.variant") == F.col("of"))
+    equal = F.lit(0)
+    for i in range(SEGMENTS):
+        size = F.floor(F.col("count") * (i + 1) / SEGMENTS) - F.floor(F.col("count") * i / SEGMENTS)
+        mine, its = F.col(packed[i // 2]), F.col(f"of_{packed[i // 2]}")
+        same = mine.bitwiseAND(_LOW) == its.bitwiseAND(_LOW) if i % 2 else F.shiftright(mine, 32) == F.shiftright(its, 32)
+        equal = equal + F.when(same, size).otherwise(0)
+    similar = both.where((F.col("count") == F.col("of_count")) & (equal >= SIMILAR * F.col("count")))
     first = similar.groupBy("variant").agg(F.max("seed").alias("seed")).select("variant", F.col("seed.variant").alias("template"))
     # a seed may itself have joined a more frequent one
     onward = first.select(F.col("variant").alias("at"), F.col("template").alias("onward"))
@@ -65,30 +82,28 @@ def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """row, pos, template for every line of a recurring template (row: see ``_identity``)."""
+    """row, row_check, pos, template for every line of a recurring template (the first two: see ``_identity``)."""
     lines = stored(_lines(docs, key, text), "lines")
-    variants = stored(
-        lines.groupBy("variant").agg(F.countDistinct("row").alias("docs"), F.min("count").alias("count"), F.min("leaves").alias("leaves")), "lines-variants"
-    )
-    named = variants.where(F.col("count") >= MIN_TOKENS).join(_merged(lines, variants), "variant", "left").select("variant", "docs", F.coalesce("template", "variant").alias("template"))
+    held_by = lines.where(F.col("count") >= MIN_TOKENS).groupBy("variant", "node", "count", "row", "row_check").agg(F.lit(1).alias("one"))
+    variants = stored(held_by.groupBy("variant", "node", "count").agg(F.count("*").alias("docs")), "lines-variants")
+    named = variants.join(_merged(lines, variants), "variant", "left").select("variant", "docs", F.coalesce("template", "variant").alias("template"))
     frequent = named.groupBy("template").agg(F.sum("docs").alias("n")).where(F.col("n") >= MIN_DOCUMENTS).select("template")
     templates = named.join(frequent, "template").select("variant", "template")
-    order = Window.partitionBy("row").orderBy("pos")
-    once = lines.select("row", "pos", "variant").repartition("row").groupBy("row", "pos").agg(F.min("variant").alias("variant"))
-    around = once.select("row", "pos", "variant", F.lag("variant").over(order).alias("before"), F.lead("variant").over(order).alias("after"))
+    order = Window.partitionBy("row", "row_check").orderBy("pos")
+    once = lines.select("row", "row_check", "pos", "variant").repartition("row", "row_check").groupBy("row", "row_check", "pos").agg(F.min("variant").alias("variant"))
+    around = once.select("row", "row_check", "pos", "variant", F.lag("variant").over(order).alias("before"), F.lead("variant").over(order).alias("after"))
     alone = F.col("before").isNull() & F.col("after").isNull()  # a document of one line is its own surroundings
+    edge = F.when(alone, F.lit(0)).otherwise(F.xxhash64("row", "row_check"))
     held = stored(
-        around.join(templates, "variant").select(
-            "row", "pos", "template",
-            F.coalesce("before", F.when(alone, F.lit("^")).otherwise(F.concat(F.lit("^"), "row"))).alias("before"),
-            F.coalesce("after", F.when(alone, F.lit("$")).otherwise(F.concat(F.lit("$"), "row"))).alias("after"),
-        ),
+        around.join(templates, "variant").select("row", "row_check", "pos", "template", F.coalesce("before", edge).alias("before"), F.coalesce("after", edge).alias("after")),
         "lines-held",
     )
-    counted = held.groupBy("template").agg(F.countDistinct("row").alias("docs"), F.countDistinct("before").alias("befores"), F.countDistinct("after").alias("afters"))
+    distinct = lambda *of: held.select("template", *of).distinct().groupBy("template").agg(F.count("*").alias("n"))
+    named_counts = [distinct("row", "row_check").withColumnRenamed("n", "docs"), distinct("before").withColumnRenamed("n", "befores"), distinct("after").withColumnRenamed("n", "afters")]
+    counted = named_counts[0].join(named_counts[1], "template").join(named_counts[2], "template")
     own = F.least("befores", "afters")
     recurring = counted.where((own >= MIN_DOCUMENTS) & (2 * own >= F.col("docs"))).select("template")
-    return held.join(recurring, "template", "left_semi").select("row", "pos", "template")
+    return held.join(recurring, "template", "left_semi").select("row", "row_check", "pos", "template")
 
 
 def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", dropped: str | None = None) -> DataFrame:
@@ -100,9 +115,10 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
     taken out (0 if none). Repeated rows fare alike, null keys are no special case, and an
     empty table gives no rows. A column ``n_chars`` follows the new text where it has changed.
     """
-    row, out = fresh_name(docs, "row_identity"), fresh_name(docs, "row_dropped")
-    places = recurring_lines(docs, key, text).groupBy("row").agg(F.collect_set("pos").alias(out)).select(F.col("row").alias(row), out)
-    joined = docs.withColumn(row, _identity(key, text)).join(places, row, "left")
+    row, check, out = fresh_name(docs, "row_identity"), fresh_name(docs, "row_check"), fresh_name(docs, "row_dropped")
+    places = recurring_lines(docs, key, text).groupBy("row", "row_check").agg(F.collect_set("pos").alias(out))
+    places = places.select(F.col("row").alias(row), F.col("row_check").alias(check), out)
+    joined = docs.withColumns(dict(zip((row, check), _identity(key, text), strict=True))).join(places, [row, check], "left")
     parts = F.split(text, "\n")
     numbered = F.arrays_zip(F.sequence(F.lit(0), F.size(parts) - 1).alias("i"), parts.alias("x"))
     # a line that goes becomes null, and array_join leaves nulls out
