@@ -28,7 +28,8 @@ from sentencepiece import sentencepiece_model_pb2 as model_proto
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_REMEMBERED = 1_000_000
+_REMEMBERED = 400_000  # words per Python worker
+_AT_ONCE = 2_000_000
 _FILTER_BITS = 22
 _PAIRS = (1 << 21) - 9
 _NEVER = -np.inf
@@ -88,7 +89,7 @@ class Codec:
         for row, code in zip(self.table, self.codes, strict=True):
             row[: len(code)] = code
         self.pair_key, self.pair_fits = np.full(_PAIRS, -1, np.int64), np.zeros(_PAIRS, bool)
-        self.words: dict[str, np.ndarray] = {}
+        self.words: dict[str, bytes] = {}
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -187,22 +188,25 @@ class Codec:
         marked = ((" " if self.prefix else "") + text).replace(" ", MARK)
         return self.word.findall(marked)
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of every text; null and empty texts have none."""
-        split = [self.split(t or "") for t in texts]
-        if len(self.words) > _REMEMBERED:
-            self.words.clear()
-        new = {w for words in split for w in words if w not in self.words}
-        by_length: dict[int, list[str]] = {}
-        for w in new:
-            by_length.setdefault(len(w), []).append(w)
-        for same in by_length.values():
-            for cut in range(0, len(same), 8192):
-                some = same[cut : cut + 8192]
-                for word, ids in zip(some, self._segment(some), strict=True):
-                    self.words[word] = np.array(ids, dtype=np.int32)
-        known = self.words
-        return [np.concatenate([known[w] for w in words]) if words else np.zeros(0, np.int32) for words in split]
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of every text, none for null and empty ones; the new words of some ``_AT_ONCE`` characters advance together."""
+        for some in _runs(texts):
+            if len(self.words) > _REMEMBERED:
+                self.words.clear()
+            split = [self.split(t or "") for t in some]
+            new: dict[int, set[str]] = {}
+            for w in {w for words in split for w in words if w not in self.words}:
+                new.setdefault(len(w), set()).add(w)
+            for same in new.values():
+                self._learn(sorted(same))
+            for words in split:
+                yield np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32)
+
+    def _learn(self, same: list[str]) -> None:
+        for cut in range(0, len(same), 8192):
+            some = same[cut : cut + 8192]
+            for word, ids in zip(some, self._segment(some), strict=True):
+                self.words[word] = np.array(ids, dtype=np.int32).tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids; byte pieces join to characters, control pieces vanish."""
@@ -214,6 +218,20 @@ class Codec:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+def _runs(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Neighbouring texts of about ``_AT_ONCE`` characters together, at least one."""
+    run: list[str | None] = []
+    size = 0
+    for t in texts:
+        run.append(t)
+        size += len(t or "")
+        if size >= _AT_ONCE:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 _CODECS: dict[bytes, Codec] = {}
 
 
@@ -237,11 +255,14 @@ def encode_documents(docs: DataFrame, model: bytes, *keep: str, text: str = "tex
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(model)
         for batch in batches:
-            ids = known.encode(batch.column(batch.num_columns - 1).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            decoded = pa.array([known.decode(i) for i in ids], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists, decoded], names=schema.fieldNames())
+            at = 0
+            for some in _runs(batch.column(batch.num_columns - 1).to_pylist()):
+                ids = list(known.encode(some))
+                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                decoded = pa.array(map(known.decode, ids), pa.string())
+                kept = [c.slice(at, len(some)) for c in batch.columns[:-1]]
+                at += len(some)
+                yield pa.RecordBatch.from_arrays([*kept, lists, decoded], names=schema.fieldNames())
 
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(convert, schema)
