@@ -102,7 +102,8 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     named_counts = [distinct("row", "row_check").withColumnRenamed("n", "docs"), distinct("before").withColumnRenamed("n", "befores"), distinct("after").withColumnRenamed("n", "afters")]
     counted = named_counts[0].join(named_counts[1], "template").join(named_counts[2], "template")
     own = F.least("befores", "afters")
-    recurring = counted.where((own >= MIN_DOCUMENTS) & (2 * own >= F.col("docs"))).select("template")
+    # written first: both sides of the join are then dealt by it, and Spark can split a frequent template
+    recurring = stored(counted.where((own >= MIN_DOCUMENTS) & (2 * own >= F.col("docs"))).select("template"), "lines-recurring")
     return held.join(recurring, "template", "left_semi").select("row", "row_check", "pos", "template")
 
 
