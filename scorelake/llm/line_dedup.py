@@ -7,10 +7,11 @@ the leaf of a third they share. In each leaf the variant seen in most documents
 variants whose segments (``SEGMENTS`` to a line) agree with the seed's over ``SIMILAR`` of all
 tokens or more become one template, in which what differs is variable.
 
-A template recurs if at least ``MIN_DOCUMENTS`` documents hold it, and at least half of them
-in surroundings of their own, both before and after the line. Copies of one document have the
-same surroundings, so copies alone make no template recur: they are the business of
-near-duplicate removal, not of this operator.
+A template recurs if at least ``MIN_DOCUMENTS`` documents hold it, and at least half as many
+surroundings as documents: the smallest hash among the leading tokens of all lines before it, or after it. Copies of
+one document have the same surroundings, near-copies mostly so, hence copies alone make no
+template recur (they are the business of near-duplicate removal), while a passage of several
+lines is told from its documents' other lines.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def _identity(key: str, text: str) -> list[Column]:
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """row, row_check, pos, variant, node, count and the hashed segments of every line with a token.
+    """row, row_check, pos, variant, lead, node, count and the hashed segments of every line with a token.
 
     A line is known by 64-bit hashes from here on. ``SEGMENTS`` hashes stand for its tokens;
     they are packed two by two, so that plain aggregates can carry them.
@@ -48,8 +49,8 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     edges = [F.floor(count * i / SEGMENTS).cast("int") for i in range(SEGMENTS + 1)]
     hashes = [F.hash(F.slice("tokens", edges[i] + 1, edges[i + 1] - edges[i])).cast("bigint") for i in range(SEGMENTS)]
     packed = [F.shiftleft(hashes[2 * i], 32).bitwiseOR(hashes[2 * i + 1].bitwiseAND(_LOW)).alias(f"p{i}") for i in range(SEGMENTS // 2)]
-    node = F.xxhash64(count, F.slice("tokens", 1, LEADING))
-    return tokens.select("row", "row_check", "pos", F.xxhash64("masked").alias("variant"), node.alias("node"), count.alias("count"), *packed)
+    lead = F.xxhash64(F.slice("tokens", 1, LEADING))
+    return tokens.select("row", "row_check", "pos", F.xxhash64("masked").alias("variant"), lead.alias("lead"), F.xxhash64(count, lead).alias("node"), count.alias("count"), *packed)
 
 
 def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
@@ -89,19 +90,18 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     named = variants.join(_merged(lines, variants), "variant", "left").select("variant", "docs", F.coalesce("template", "variant").alias("template"))
     frequent = named.groupBy("template").agg(F.sum("docs").alias("n")).where(F.col("n") >= MIN_DOCUMENTS).select("template")
     templates = named.join(frequent, "template").select("variant", "template")
-    order = Window.partitionBy("row", "row_check").orderBy("pos")
-    once = lines.select("row", "row_check", "pos", "variant").repartition("row", "row_check").groupBy("row", "row_check", "pos").agg(F.min("variant").alias("variant"))
-    around = once.select("row", "row_check", "pos", "variant", F.lag("variant").over(order).alias("before"), F.lead("variant").over(order).alias("after"))
-    alone = F.col("before").isNull() & F.col("after").isNull()  # a document of one line is its own surroundings
-    edge = F.when(alone, F.lit(0)).otherwise(F.xxhash64("row", "row_check"))
+    once = lines.select("row", "row_check", "pos", "variant", "lead").repartition("row", "row_check").groupBy("row", "row_check", "pos").agg(F.min("variant").alias("variant"), F.min("lead").alias("lead"))
+    earlier = Window.partitionBy("row", "row_check").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("row", "row_check").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    around = once.withColumn("before", F.min("lead").over(earlier)).withColumn("after", F.min("lead").over(later))
     held = stored(
-        around.join(templates, "variant").select("row", "row_check", "pos", "template", F.coalesce("before", edge).alias("before"), F.coalesce("after", edge).alias("after")),
+        around.join(templates, "variant").select("row", "row_check", "pos", "template", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after")),
         "lines-held",
     )
     distinct = lambda *of: held.select("template", *of).distinct().groupBy("template").agg(F.count("*").alias("n"))
     named_counts = [distinct("row", "row_check").withColumnRenamed("n", "docs"), distinct("before").withColumnRenamed("n", "befores"), distinct("after").withColumnRenamed("n", "afters")]
     counted = named_counts[0].join(named_counts[1], "template").join(named_counts[2], "template")
-    own = F.least("befores", "afters")
+    own = F.greatest("befores", "afters")
     # written first: both sides of the join are then dealt by it, and Spark can split a frequent template
     recurring = stored(counted.where((own >= MIN_DOCUMENTS) & (2 * own >= F.col("docs"))).select("template"), "lines-recurring")
     return held.join(recurring, "template", "left_semi").select("row", "row_check", "pos", "template")
