@@ -1,7 +1,9 @@
 """Upserts for tables without a table format.
 
 All functions return DataFrames; :func:`apply_upsert` writes them partition by partition.
-NULL key parts never match, so such rows are kept apart from the joins.
+By the letter of a merge, NULL key parts never match, so such rows are added on every run.
+With ``match_nulls`` they compare as equal, which makes a load that runs twice add nothing;
+the loads of this package use it.
 """
 
 from __future__ import annotations
@@ -17,35 +19,46 @@ def _keyed(keys: list[str]) -> Column:
     return condition
 
 
-def newest_per_key(source: DataFrame, keys: list[str], version: str) -> DataFrame:
+_KEY = "_key_struct"
+
+
+def _with_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys as one struct; its NULL parts compare as equal, and it is never NULL itself."""
+    return df.withColumn(_KEY, F.struct(*keys))
+
+
+def newest_per_key(source: DataFrame, keys: list[str], version: str, match_nulls: bool = False) -> DataFrame:
     """One row per key, the newest; ties are settled by the remaining columns.
 
-    Rows with a NULL key part are left as they are.
+    Rows with a NULL key part are left as they are, unless ``match_nulls``.
     """
     rest = [c for c in source.columns if c not in keys]
     ordered = [version, *(c for c in rest if c != version)]
     picked = (
-        source.filter(_keyed(keys))
+        (source if match_nulls else source.filter(_keyed(keys)))
         .groupBy(*keys)
         .agg(F.max(F.struct(*ordered)).alias("_row"))
         .select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))
         .select(*source.columns)
     )
-    return picked.unionByName(source.filter(~_keyed(keys)))
+    return picked if match_nulls else picked.unionByName(source.filter(~_keyed(keys)))
 
 
-def insert_missing(target: DataFrame, source: DataFrame, keys: list[str], dedupe_by: str | None = None) -> DataFrame:
+def insert_missing(
+    target: DataFrame, source: DataFrame, keys: list[str], dedupe_by: str | None = None, match_nulls: bool = False
+) -> DataFrame:
     """Source rows whose key is not in the target.
 
     As in an insert-only merge, rows of one batch are compared with the target only, not
     with each other; ``dedupe_by`` also keeps just the newest row per key.
     """
-    batch = newest_per_key(source, keys, dedupe_by) if dedupe_by else source
-    wanted = batch.select(*keys).filter(_keyed(keys)).distinct()
+    batch = newest_per_key(source, keys, dedupe_by, match_nulls) if dedupe_by else source
+    matchable = batch if match_nulls else batch.filter(_keyed(keys))
+    wanted = _with_key(matchable, keys).select(_KEY).distinct()
     # the keys both sides share: a small batch is broadcast here and the target is not shuffled
-    known = target.select(*keys).join(wanted, keys, "left_semi")
-    fresh = batch.filter(_keyed(keys)).join(known, keys, "left_anti").select(*batch.columns)
-    return fresh.unionByName(batch.filter(~_keyed(keys)))
+    known = _with_key(target, keys).select(_KEY).join(wanted, _KEY, "left_semi")
+    fresh = _with_key(matchable, keys).join(known, _KEY, "left_anti").select(*batch.columns)
+    return fresh if match_nulls else fresh.unionByName(batch.filter(~_keyed(keys)))
 
 
 def upsert_newer(
@@ -55,6 +68,7 @@ def upsert_newer(
     version: str,
     update: list[str] | None = None,
     stamp: dict[str, Column] | None = None,
+    match_nulls: bool = False,
 ) -> DataFrame:
     """The target after a merge in which a newer source row replaces the stored one.
 
@@ -64,27 +78,30 @@ def upsert_newer(
     open to adaptive skew splitting.
     """
     stamp = stamp or {}
-    batch = newest_per_key(source, keys, version).withColumns(stamp)
+    batch = newest_per_key(source, keys, version, match_nulls).withColumns(stamp)
     taken = [c for c in (update or batch.columns) if c not in keys] + [c for c in stamp if update and c not in update]
-    renamed = batch.filter(_keyed(keys)).select(*keys, *(F.col(c).alias(f"_s_{c}") for c in batch.columns if c not in keys))
-    joined = target.join(renamed, keys, "left")
+    matchable = _with_key(batch if match_nulls else batch.filter(_keyed(keys)), keys)
+    renamed = matchable.select(_KEY, *(F.col(c).alias(f"_s_{c}") for c in batch.columns if c not in keys))
+    joined = _with_key(target, keys).join(renamed, _KEY, "left")
     newer = F.col(f"_s_{version}") > F.col(version)
     updated = joined.select(
         *(F.when(newer, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c) for c in target.columns)
     )
-    added = insert_missing(target, batch, keys).select(*target.columns)
+    added = insert_missing(target, batch, keys, match_nulls=match_nulls).select(*target.columns)
     return updated.unionByName(added)
 
 
-def changed_rows(target: DataFrame, source: DataFrame, keys: list[str], version: str) -> DataFrame:
+def changed_rows(target: DataFrame, source: DataFrame, keys: list[str], version: str, match_nulls: bool = False) -> DataFrame:
     """Source rows a newer-wins merge would insert or update, marked in ``_action``."""
-    batch = newest_per_key(source, keys, version)
-    stored = target.filter(_keyed(keys)).groupBy(*keys).agg(F.min(version).alias("_stored"))
-    keyed = batch.filter(_keyed(keys)).join(stored, keys, "left")
-    action = F.when(F.col("_stored").isNull(), "INSERT").when(F.col(version) > F.col("_stored"), "UPDATE")
-    marked = keyed.withColumn("_action", action).filter(F.col("_action").isNotNull()).drop("_stored")
-    loose = batch.filter(~_keyed(keys)).withColumn("_action", F.lit("INSERT"))
-    return marked.select(*batch.columns, "_action").unionByName(loose)
+    batch = newest_per_key(source, keys, version, match_nulls)
+    usable = (lambda df: df) if match_nulls else (lambda df: df.filter(_keyed(keys)))
+    stored = _with_key(usable(target), keys).groupBy(_KEY).agg(F.min(version).alias("_stored"), F.lit(True).alias("_known"))
+    joined = _with_key(usable(batch), keys).join(stored, _KEY, "left")
+    action = F.when(F.col("_known").isNull(), "INSERT").when(F.col(version) > F.col("_stored"), "UPDATE")
+    marked = joined.withColumn("_action", action).filter(F.col("_action").isNotNull()).select(*batch.columns, "_action")
+    if match_nulls:
+        return marked
+    return marked.unionByName(batch.filter(~_keyed(keys)).withColumn("_action", F.lit("INSERT")))
 
 
 def append_versions(target: DataFrame, source: DataFrame, keys: list[str], version: str) -> DataFrame:
@@ -97,9 +114,9 @@ def missing_members(dimension: DataFrame, candidates: DataFrame, columns: list[s
     return candidates.select(*columns).subtract(dimension.select(*columns))
 
 
-def absent_facts(facts: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
+def absent_facts(facts: DataFrame, candidates: DataFrame, *keys: str, match_nulls: bool = False) -> DataFrame:
     """Candidates whose key is not loaded yet."""
-    return insert_missing(facts, candidates, [key])
+    return insert_missing(facts, candidates, list(keys), match_nulls=match_nulls)
 
 
 def key_bucket(key: str, buckets: int = 64) -> Column:
@@ -107,6 +124,14 @@ def key_bucket(key: str, buckets: int = 64) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def stored_buckets(lake, name: str, buckets: int) -> int:
+    """The bucket count the table was first written with, kept beside it; ``buckets`` for a new table."""
+    layout = f"{name}__layout"
+    if not lake.exists(layout):
+        lake.replace(layout, lake.spark.range(1).select(F.lit(buckets).alias("buckets")))
+    return lake.read(layout).first()["buckets"]
+
+
 def apply_upsert(
     lake,
     name: str,
@@ -116,20 +141,22 @@ def apply_upsert(
     update: list[str] | None = None,
     stamp: dict[str, Column] | None = None,
     partition: str = "bucket",
+    buckets: int = 64,
+    match_nulls: bool = False,
 ) -> None:
     """Merge ``source`` into a stored table partitioned by ``partition``.
 
     The touched partition values are few (bounded by the bucket count), so they are listed
     on the driver and prune the read of the target.
     """
-    batch = source.withColumn(partition, key_bucket(keys[0]))
+    batch = source.withColumn(partition, key_bucket(keys[0], stored_buckets(lake, name, buckets)))
     if not lake.exists(name):
-        first = newest_per_key(batch, keys, version).withColumns(stamp or {})
+        first = newest_per_key(batch, keys, version, match_nulls).withColumns(stamp or {})
         lake.rewrite_partitions(name, first, partition)
         return
     touched = [row[0] for row in batch.select(partition).distinct().collect()]
     if not touched:
         return
     target = lake.read(name).filter(F.col(partition).isin(touched))
-    merged = upsert_newer(target, batch.select(*target.columns), keys, version, update, stamp)
+    merged = upsert_newer(target, batch.select(*target.columns), keys, version, update, stamp, match_nulls)
     lake.rewrite_partitions(name, merged, partition)

@@ -91,11 +91,19 @@ def _extend(lake: Lake, name: str, candidates, key: str, columns: list[str]) ->
         lake.append(name, star.with_ids(candidates, key, columns))
 
 
+_DOCUMENT = ("stg_file_hashkey", "stg_file_row_number")
+
+
 def _without_facts(lake: Lake, fact: str, rows):
-    """Rows of matches that have no fact yet, found before the star join."""
+    """Rows whose document has no fact yet, nor its match under another document; found before the star join.
+
+    Documents are told apart by file hash and row number, so rows without a match number are loaded once too.
+    """
     if not lake.exists(fact):
         return rows
-    return absent_facts(lake.read(fact).select(F.col("match_id").alias("match_type_number")), rows, "match_type_number")
+    stored = lake.read(fact)
+    fresh = absent_facts(stored, rows, *_DOCUMENT, match_nulls=True)
+    return absent_facts(stored.select(F.col("match_id").alias("match_type_number")), fresh, "match_type_number")
 
 
 def run_star(spark, source: str, root: str) -> Lake:
@@ -109,7 +117,7 @@ def run_star(spark, source: str, root: str) -> Lake:
         ("clean_delivery", star.clean_deliveries),
     ):
         # documents already loaded are dropped before they are parsed
-        fresh = absent_facts(lake.read(name), raw, "stg_file_hashkey") if lake.exists(name) else raw
+        fresh = absent_facts(lake.read(name), raw, *_DOCUMENT, match_nulls=True) if lake.exists(name) else raw
         lake.append(name, make(fresh))
 
     matches, players, deliveries = (lake.read(n) for n in ("clean_match", "clean_player", "clean_delivery"))
@@ -128,6 +136,7 @@ def run_star(spark, source: str, root: str) -> Lake:
     dims = {n: lake.read(n) for n in ("team_dim", "player_dim", "venue_dim", "match_type_dim", "date_dim")}
     todo = _without_facts(lake, "match_fact", matches)
     played = deliveries.join(todo.select("match_type_number").distinct(), "match_type_number", "left_semi")
-    lake.append("match_fact", star.match_fact(todo, played, dims))
-    lake.append("delivery_fact", star.delivery_fact(_without_facts(lake, "delivery_fact", deliveries), dims))
+    lake.append("match_fact", star.match_fact(todo, played, dims, lineage=_DOCUMENT))
+    rows = _without_facts(lake, "delivery_fact", deliveries)
+    lake.append("delivery_fact", star.delivery_fact(rows, dims, lineage=_DOCUMENT))
     return lake

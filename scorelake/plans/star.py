@@ -159,8 +159,10 @@ def referee_dim(matches: DataFrame) -> DataFrame:
 _SIDES = {"a": "first_team", "b": "second_team"}
 
 
-def match_fact(matches: DataFrame, deliveries: DataFrame, dims: dict[str, DataFrame], unknown_member: bool = False) -> DataFrame:
-    """One row per match with keys of every dimension and measures of both teams.
+def match_fact(
+    matches: DataFrame, deliveries: DataFrame, dims: dict[str, DataFrame], unknown_member: bool = False, lineage: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per match with keys of every dimension and measures of both teams, and the ``lineage`` columns of the match.
 
     Deliveries are added up per match and team first, so the joins see a few rows per match.
     Matches that miss a dimension member (no winner, no city) drop out, unless
@@ -199,7 +201,7 @@ def match_fact(matches: DataFrame, deliveries: DataFrame, dims: dict[str, DataFr
             total("_wickets").alias(f"wicket_lost_by_team_{side}"),
         ]
     keys = ["date_id", "team_a_id", "team_b_id", "match_type_id", "venue_id", "toss_winner_team_id", "toss_decision", "match_result", "winner_team_id"]
-    facts = star.groupBy(F.col("match_type_number").alias("match_id"), *keys).agg(
+    facts = star.groupBy(F.col("match_type_number").alias("match_id"), *keys, *lineage).agg(
         F.lit(REFEREE_ID).alias("referee_id"), F.lit(TOTAL_OVERS).alias("total_overs"), F.lit(BALLS_PER_OVER).alias("balls_per_over"), *measures
     )
     names = [m for side in _SIDES for m in (
@@ -209,12 +211,14 @@ def match_fact(matches: DataFrame, deliveries: DataFrame, dims: dict[str, DataFr
     )]
     return facts.select(
         "match_id", "date_id", "referee_id", "team_a_id", "team_b_id", "match_type_id", "venue_id", "total_overs", "balls_per_over",
-        *names, "toss_winner_team_id", "toss_decision", "match_result", "winner_team_id",
+        *names, "toss_winner_team_id", "toss_decision", "match_result", "winner_team_id", *lineage,
     )
 
 
-def delivery_fact(deliveries: DataFrame, dims: dict[str, DataFrame], team_aware: bool = False, matches: DataFrame | None = None) -> DataFrame:
-    """Deliveries with surrogate keys; missing details become constants.
+def delivery_fact(
+    deliveries: DataFrame, dims: dict[str, DataFrame], team_aware: bool = False, matches: DataFrame | None = None, lineage: tuple[str, ...] = ()
+) -> DataFrame:
+    """Deliveries with surrogate keys and their ``lineage`` columns; missing details become constants.
 
     Players are found by name alone, so namesakes of several teams multiply rows;
     ``team_aware`` also matches batters to the batting team and bowlers to the other team.
@@ -234,6 +238,7 @@ def delivery_fact(deliveries: DataFrame, dims: dict[str, DataFrame], team_aware:
         F.col("match_type_number").alias("match_id"), "team_id", "bowler_id", "batter_id", "non_striker_id", "over", "runs",
         F.coalesce("extra_runs", F.lit(0)).alias("extra_runs"),
         *(F.coalesce(c, F.lit(NONE)).alias(c) for c in ("extra_type", "player_out", "player_out_kind")),
+        *lineage,
     )
 
 

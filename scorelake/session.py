@@ -31,13 +31,17 @@ def build_session(master: str | None = None, app: str = "scorelake", shuffle_par
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A local folder is chosen only where the session names none, which is the case in tests.
+    A temporary folder is made only where the session names none and its master is local,
+    as in tests; several machines need the setting, so its absence is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scorelake-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -55,6 +59,5 @@ def pinned(df):
 
 
 def spread(df):
-    """Use every core when a small input has fewer splits than the cluster has cores; leave larger inputs alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows over all cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

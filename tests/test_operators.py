@@ -132,3 +132,18 @@ def test_archive_split_keeps_null_dates(spark):
     rows = spark.createDataFrame([(1, "2024-01-05"), (2, None), (3, "2024-02-01")], "id int, d string").withColumn("d", F.to_date("d"))
     archived, kept = split_archive(rows, F.col("d") < F.lit("2024-02-01").cast("date"))
     assert ([r.id for r in archived.collect()], sorted(r.id for r in kept.collect())) == ([1], [2, 3])
+
+
+def test_logged_actions_and_reused_labels(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    rows = lambda ids, version: spark.createDataFrame([(str(i) if i is not None else None, 1, version, "v") for i in ids], ROWS)
+    handle = upsert_into(lake, "t", ["key", "part"], "version", buckets=8)
+    handle(rows(range(200), 5), 0)
+    handle(rows(range(50), 6).unionByName(rows(range(50, 200), 4)), 1)
+    log = lake.read("t__changes")
+    assert sorted((r._action, r["count"]) for r in log.groupBy("_action").count().collect()) == [("INSERT", 200), ("UPDATE", 50)]
+    handle(rows(range(1000, 1200), 1), 1)  # another batch under a label that is in the log
+    assert lake.read("t").count() == 400
+    for _ in range(2):
+        handle(rows([None], 1), 2)
+    assert lake.read("t").count() == 401 and lake.read("t__changes").count() == 451

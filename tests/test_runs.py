@@ -59,3 +59,30 @@ def test_star_keeps_ids_over_loads(spark, tmp_path):
     assert orphan_rows(lake.read("match_fact"), lake.read("team_dim"), "winner_team_id", "team_id").count() == 0
     assert orphan_rows(lake.read("delivery_fact"), lake.read("player_dim"), "batter_id", "player_id").count() == 0
     assert lake.read("delivery_fact").filter(F.col("extra_type").isNull()).count() == 0
+
+
+def test_star_loads_unnumbered_documents_once(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "star")
+    write(source, "a.json", document(1, city="x"))
+    write(source, "b.json", document(None, city="x", dates=["2023-10-15"]))
+    lake = run_star(spark, str(source), root)
+    first = lake.read("delivery_fact").count()
+    for _ in range(2):
+        run_star(spark, str(source), root)
+        assert lake.read("delivery_fact").count() == first
+
+
+def test_loads_of_several_consumers_add_up(spark, tmp_path):
+    from scorelake.sources.tables import Lake
+    from scorelake.streaming.ingest import load_unseen, stream_files
+
+    one, two, lake = tmp_path / "one", tmp_path / "two", Lake(spark, str(tmp_path / "lake"))
+    for i in range(3):
+        write(one, f"{i}.json", document(i + 1))
+    write(two, "x.json", document(9))
+    load_unseen(lake, str(one))
+    stream_files(lake, str(two), lake.path("_checkpoints/a"))
+    assert lake.read("raw").count() == 4
+    load_unseen(lake, str(one))
+    stream_files(lake, str(two), lake.path("_checkpoints/a"))
+    assert lake.read("raw").count() == 4
