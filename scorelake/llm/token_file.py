@@ -63,7 +63,7 @@ class Model:
         self.id1, self.id2 = self.entry1 >> 2, self.entry2 >> 2
         self.context = lane * 32 + ((self.entry2 & 3) << 3 | (self.entry1 & 3) << 1 | (self.id1 == self.id2))
         self.share2, self.share1 = self.trust2.take(self.context), self.trust1.take(self.context)
-        return self.id2, self.id1, self.share2, ((1 << MIX_BITS) - self.share2) * self.share1 >> MIX_BITS
+        return self.id2, self.id1, self.share2, np.maximum(((1 << MIX_BITS) - self.share2) * self.share1 >> MIX_BITS, 1)  # a share of 0 could not be coded
 
     def update(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         share = self.share2 + np.where(hit2, (1 << MIX_BITS) - 32 - self.share2, 32 - self.share2) // 16

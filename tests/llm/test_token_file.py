@@ -21,6 +21,16 @@ def test_round_trip_of_ids(n):
     assert keys == [None, 7] and lengths == [n, 0] and (back == ids).all()
 
 
+def test_predictions_that_nearly_always_hold():
+    rng = np.random.default_rng(8)
+    runs = []
+    for _ in range(400):  # order 2 is right for long, then only order 1 is
+        a, b = rng.integers(0, 6, 2)
+        runs += [a, b] * 60 + [7, b, b]
+    ids = np.array(runs, dtype=np.uint32)
+    assert (token_file.unpack(token_file.pack([1], [len(ids)], ids))[2] == ids).all()
+
+
 def test_damage_is_noticed():
     ids = np.arange(9000) % 500
     data = bytearray(token_file.pack([1], [9000], ids.astype(np.uint32)))
