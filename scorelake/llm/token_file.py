@@ -152,7 +152,7 @@ def decode_blocks(words: np.ndarray, starts: np.ndarray, total: int, cumulative:
     at, width = starts + 3, np.full(blocks, 1 << 48, np.uint64)
 
     def take(some: np.ndarray) -> None:
-        value[some] = value[some] << _SHIFT | words[at[some]]
+        value[some] = value[some] << _SHIFT | words[np.minimum(at[some], len(words) - 1)]  # damaged words may ask for more than there are
         at[some] += 1
         width[some] <<= _SHIFT
 
