@@ -11,6 +11,8 @@ from scorelake.functions.dates import as_of_literal, minutes_between
 from scorelake.operators.positions import number_in_groups
 from scorelake.operators.quality import valid_current
 
+# what tells one match document from another, whether it is numbered or not
+DOCUMENT = ["stg_file_hashkey", "stg_file_row_number", "stg_file_name"]
 PLAYER_VIEW = ["match_type_number", "country", "player_name"]
 DELIVERY_VIEW = [
     "match_type_number", "team_name", "over", "bowler", "batter", "non_striker", "runs", "extras", "total", "extra_type",
@@ -82,7 +84,7 @@ def delivery_fact(silver: DataFrame, as_of=None) -> DataFrame:
         "bowler", "batter", "non_striker", "runs", "extras",
         *(value.alias(name) for name, value in flags.items()),
         "total", "extra_type", "player_out", "player_out_kind", "player_out_fielder",
-        "review_by_team", "review_decision", "review_type", "stg_file_hashkey", "stg_file_row_number",
+        "review_by_team", "review_decision", "review_type", *DOCUMENT,
         *_audit("delivery", as_of),
     )
 
@@ -93,6 +95,6 @@ def match_dim(silver: DataFrame, as_of=None) -> DataFrame:
         *MATCH_VIEW[:19],
         margin_type(runs, wickets).alias("margin_type"),
         margin_value(runs, wickets).alias("margin_value"),
-        "player_of_match", "match_referee", "toss_winner", "toss_decision",
+        "player_of_match", "match_referee", "toss_winner", "toss_decision", *DOCUMENT,
         *_audit("match", as_of),
     )

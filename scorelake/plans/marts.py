@@ -10,6 +10,7 @@ from scorelake.functions.ball import form_status, role_type
 from scorelake.functions.casts import ratio
 from scorelake.functions.dates import as_of_literal
 from scorelake.operators.positions import best_by, number_in_groups, number_rows, rolling_in_groups
+from scorelake.plans.gold import DOCUMENT
 from scorelake.session import pinned
 from scorelake.sources.tables import typed_empty
 
@@ -53,6 +54,11 @@ def _audit(df: DataFrame, source: str, as_of) -> DataFrame:
     )
 
 
+_PLAYER_MEASURES = [
+    "balls_faced", "runs_scored", "boundaries_4", "boundaries_6", "balls_bowled", "runs_conceded", "wickets_taken", "dot_balls_bowled",
+]
+
+
 def batting_stats(deliveries: DataFrame) -> DataFrame:
     """Per batter, match and team: balls, runs, average, strike rate, boundaries."""
     balls, runs = F.col("balls_faced"), F.col("runs_scored")
@@ -82,39 +88,43 @@ def bowling_stats(deliveries: DataFrame) -> DataFrame:
     )
 
 
-def player_stats(deliveries: DataFrame) -> DataFrame:
-    """Batting and bowling of each name per match in one row.
+def player_stats(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
+    """Batting and bowling of each name per match document in one row, with the player's own team.
 
-    Both sides are added up and stacked, then added once more, which gives the result of a
-    full outer join on (name, match) while every step combines before its shuffle.
+    A batter's team is the batting team, a bowler's the other one of the match (unknown where
+    the match is). Both sides are stacked and added up once, which gives the result of a full
+    outer join on (name, document) while every step combines before its shuffle.
     """
-    bat = (
-        batting_stats(deliveries)
-        .select("player_name", "match_type_number", F.col("team_name").alias("bat_team"), "balls_faced", "runs_scored", "boundaries_4", "boundaries_6")
+    teams = matches.groupBy(*DOCUMENT).agg(F.min("first_team").alias("_one"), F.min("second_team").alias("_two"))
+    per_pair = deliveries.groupBy("batter", "bowler", "match_type_number", *DOCUMENT, "team_name").agg(
+        F.count(F.lit(1)).alias("balls"), F.sum("runs").alias("runs"), F.sum(F.col("runs") + F.col("extras")).alias("conceded"),
+        F.sum("boundary_4_count").alias("fours"), F.sum("boundary_6_count").alias("sixes"),
+        F.sum("wicket_flag").alias("wickets"), F.sum("dot_ball_count").alias("dots"),
     )
-    bowl = (
-        bowling_stats(deliveries)
-        .select("player_name", "match_type_number", F.col("team_name").alias("bowl_team"), "balls_bowled", "runs_conceded", "wickets_taken", "dot_balls_bowled")
+    other = F.when(F.col("team_name") == F.col("_one"), F.col("_two")).when(F.col("team_name") == F.col("_two"), F.col("_one"))
+    placed = per_pair.join(teams, DOCUMENT, "left").withColumn("_other", other)
+    part = lambda name, team, own, **measures: F.struct(
+        F.col(name).alias("player_name"), F.col(team).alias("own_team"), F.lit(own).alias("batting"),
+        *((F.col(measures[m]) if m in measures else F.lit(0)).cast("long").alias(m) for m in _PLAYER_MEASURES),
     )
-    measures = ["balls_faced", "runs_scored", "boundaries_4", "boundaries_6", "balls_bowled", "runs_conceded", "wickets_taken", "dot_balls_bowled"]
-    return (
-        bat.unionByName(bowl, allowMissingColumns=True)
-        .groupBy("player_name", "match_type_number")
-        .agg(
-            F.coalesce(F.min("bat_team"), F.min("bowl_team")).alias("team_name"),
-            *(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures),
-        )
+    both = F.array(
+        part("batter", "team_name", True, balls_faced="balls", runs_scored="runs", boundaries_4="fours", boundaries_6="sixes"),
+        part("bowler", "_other", False, balls_bowled="balls", runs_conceded="conceded", wickets_taken="wickets", dot_balls_bowled="dots"),
     )
+    rows = placed.select("match_type_number", *DOCUMENT, F.inline(both))
+    own = F.coalesce(F.min(F.when(F.col("batting"), F.col("own_team"))), F.min("own_team"))
+    return rows.groupBy("player_name", "match_type_number", *DOCUMENT).agg(own.alias("team_name"), *(F.sum(m).alias(m) for m in _PLAYER_MEASURES))
 
 
 def player_performance(players: DataFrame, deliveries: DataFrame, matches: DataFrame, as_of=None) -> DataFrame:
     """KPIs per player and match, with role, form and a rolling average over five matches."""
     members = players.filter("is_latest").select("player_name", "country").distinct()
-    stats = player_stats(deliveries)
-    dates = matches.groupBy("match_type_number").agg(F.min("event_date").alias("_day"))
-    joined = members.join(stats, "player_name", "left").join(dates, "match_type_number", "left")
-    measures = ["balls_faced", "runs_scored", "boundaries_4", "boundaries_6", "wickets_taken", "balls_bowled", "runs_conceded", "dot_balls_bowled"]
-    filled = joined.withColumns({m: F.coalesce(F.col(m), F.lit(0)) for m in measures}).withColumns(
+    stats = player_stats(deliveries, matches).withColumnRenamed("player_name", "_name")
+    dates = matches.groupBy(*DOCUMENT).agg(F.min("event_date").alias("_day"))
+    # namesakes of other countries keep their own rows; a name whose team is unknown goes to all who bear it
+    same = (F.col("player_name") == F.col("_name")) & (F.coalesce("team_name", "country") == F.col("country"))
+    joined = members.join(stats, same, "left").drop("_name").join(dates, DOCUMENT, "left")
+    filled = joined.withColumns({m: F.coalesce(F.col(m), F.lit(0)) for m in _PLAYER_MEASURES}).withColumns(
         {
             "matches_count": F.when(F.col("match_type_number").isNotNull(), 1).otherwise(0).cast("long"),
             "batting_avg": F.coalesce(F.round(ratio(F.col("runs_scored"), F.col("balls_faced")), 2), F.lit(0.0)),
@@ -123,7 +133,7 @@ def player_performance(players: DataFrame, deliveries: DataFrame, matches: DataF
         }
     )
     keys = ["player_name", "country"]
-    order = [F.col("_day").asc_nulls_last(), F.col("match_type_number").asc_nulls_last()]
+    order = [F.col(c).asc_nulls_last() for c in ("_day", "match_type_number", "stg_file_name", "stg_file_hashkey", "stg_file_row_number")]
     # read twice below, so it is written out once
     placed = number_in_groups(pinned(filled), keys, order, F.trunc("_day", "month"), "_pos")
     rolled = rolling_in_groups(placed, keys, "_pos", 5, {"_sum": F.sum("runs_scored"), "_cnt": F.count("runs_scored")})
@@ -140,8 +150,8 @@ def player_performance(players: DataFrame, deliveries: DataFrame, matches: DataF
 
 
 def team_totals(deliveries: DataFrame) -> DataFrame:
-    """Per match and team: runs, wickets, balls and flags."""
-    return deliveries.groupBy("match_type_number", "team_name").agg(
+    """Per match document and team: runs, wickets, balls and flags."""
+    return deliveries.groupBy(*DOCUMENT, "team_name").agg(
         F.sum("runs").alias("runs"),
         F.sum("wicket_flag").alias("wickets"),
         F.count(F.lit(1)).alias("balls"),
@@ -154,14 +164,14 @@ def team_totals(deliveries: DataFrame) -> DataFrame:
 
 _MATCH_ATTRIBUTES = [
     "match_type_number", "event_date", "event_year", "event_month", "match_type", "venue", "first_team", "second_team",
-    "toss_winner", "toss_decision", "winner", "margin_type", "margin_value", "player_of_match",
+    "toss_winner", "toss_decision", "winner", "margin_type", "margin_value", "player_of_match", *DOCUMENT,
 ]
 
 
 def match_team_stats(matches: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Match attributes with both teams' totals; deliveries are added up per team before the join."""
     m = matches.filter("is_latest").select(*_MATCH_ATTRIBUTES)
-    joined = m.join(team_totals(deliveries), "match_type_number", "left")
+    joined = m.join(team_totals(deliveries), DOCUMENT, "left")
     first, second = F.col("team_name") == F.col("first_team"), F.col("team_name") == F.col("second_team")
     side = lambda team, c: F.sum(F.when(team, F.col(c)).otherwise(0))
     return joined.groupBy(*_MATCH_ATTRIBUTES).agg(
@@ -178,24 +188,24 @@ def match_team_stats(matches: DataFrame, deliveries: DataFrame) -> DataFrame:
 
 
 def best_players(deliveries: DataFrame) -> DataFrame:
-    """Per match the leading wicket taker and run scorer, each added up on its own; ties go to the first name."""
+    """Per match document the leading wicket taker and run scorer, each added up on its own; ties go to the first name."""
     wickets = (
-        deliveries.groupBy("match_type_number", "bowler").agg(F.sum("wicket_flag").alias("w"))
-        .groupBy("match_type_number").agg(best_by("bowler", "w").alias("top"))
-        .select("match_type_number", F.col("top.bowler").alias("highest_wicket_taker"), F.col("top.w").alias("wickets_taken"))
+        deliveries.groupBy(*DOCUMENT, "bowler").agg(F.sum("wicket_flag").alias("w"))
+        .groupBy(*DOCUMENT).agg(best_by("bowler", "w").alias("top"))
+        .select(*DOCUMENT, F.col("top.bowler").alias("highest_wicket_taker"), F.col("top.w").alias("wickets_taken"))
     )
     runs = (
-        deliveries.groupBy("match_type_number", "batter").agg(F.sum("runs").alias("r"))
-        .groupBy("match_type_number").agg(best_by("batter", "r").alias("top"))
-        .select("match_type_number", F.col("top.batter").alias("highest_run_scorer"), F.col("top.r").alias("runs_scored"))
+        deliveries.groupBy(*DOCUMENT, "batter").agg(F.sum("runs").alias("r"))
+        .groupBy(*DOCUMENT).agg(best_by("batter", "r").alias("top"))
+        .select(*DOCUMENT, F.col("top.batter").alias("highest_run_scorer"), F.col("top.r").alias("runs_scored"))
     )
-    return wickets.join(runs, "match_type_number", "full")
+    return wickets.join(runs, DOCUMENT, "full")
 
 
 def match_summary(matches: DataFrame, deliveries: DataFrame, as_of=None) -> DataFrame:
-    """Executive summary, one row per match, numbered from the latest match back."""
-    joined = match_team_stats(matches, deliveries).join(best_players(deliveries), "match_type_number", "left")
-    order = [F.col("event_date").desc(), F.col("match_type_number").desc()]
+    """Executive summary, one row per match document, numbered from the latest match back."""
+    joined = match_team_stats(matches, deliveries).join(best_players(deliveries), DOCUMENT, "left")
+    order = [F.col(c).desc() for c in ("event_date", "match_type_number", "stg_file_name", "stg_file_hashkey", "stg_file_row_number")]
     numbered = number_rows(joined, order, "match_summary_id")
     columns = [part.split()[0] for part in MATCH_SUMMARY.split(", ")]
     return _audit(numbered, "match_summary", as_of).select(*columns)

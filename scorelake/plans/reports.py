@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scorelake.fixed_values import NONE, UNKNOWN, VALID
 from scorelake.functions.casts import percent, ratio
 from scorelake.functions.dates import hierarchy_parts, within_days
+from scorelake.plans.gold import DOCUMENT
 
 
 def top_strike_rates(performance: DataFrame, n: int = 10, min_balls: int = 20) -> DataFrame:
@@ -125,15 +126,15 @@ def daily_performance(matches: DataFrame, deliveries: DataFrame, performance: Da
     """
     recent = matches if days is None else matches.filter(within_days(F.col("event_date"), days, as_of))
     form = performance.groupBy("player_name").agg(F.max("form_status").alias("form_status"))
-    per_batter = deliveries.groupBy("match_type_number", "batter").agg(
+    per_batter = deliveries.groupBy(*DOCUMENT, "batter").agg(
         F.count(F.lit(1)).alias("balls"),
         *(F.sum(c).alias(c) for c in ("runs", "boundary_4_count", "boundary_6_count", "dot_ball_count")),
     )
-    rows = recent.join(per_batter, "match_type_number").join(form, F.col("batter") == F.col("player_name"), "left")
+    rows = recent.join(per_batter, DOCUMENT).join(form, F.col("batter") == F.col("player_name"), "left")
     return (
         rows.groupBy("event_date")
         .agg(
-            F.count_distinct("match_type_number").alias("matches_played"),
+            F.count_distinct(*DOCUMENT).alias("matches_played"),
             (F.count_distinct("first_team") + F.count_distinct("second_team")).alias("teams_involved"),
             F.round(ratio(F.sum("runs"), F.sum("balls")), 2).alias("avg_runs_per_ball"),
             F.sum("boundary_4_count").alias("total_fours"),
