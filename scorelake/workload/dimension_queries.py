@@ -28,34 +28,43 @@ days AS (SELECT *, CAST(row_number() OVER (ORDER BY full_dt) AS INTEGER) AS date
 PLAYER_DIM_SQL = """
 people AS (SELECT *, CAST(row_number() OVER (ORDER BY team_id, player_name) AS INTEGER) AS player_id FROM
   (SELECT DISTINCT team_id, player_name FROM players JOIN teams ON country = team_name WHERE match_type_number IS NOT NULL))"""
-_SIDE = """
-    CAST(MAX(CASE WHEN x.team_name = m.{team} THEN x.over ELSE 0 END) AS INTEGER) AS overs_played_by_team_{s},
-    CAST(SUM(CASE WHEN x.team_name = m.{team} THEN 1 ELSE 0 END) AS INTEGER) AS bowls_played_by_team_{s},
-    CAST(SUM(CASE WHEN x.team_name = m.{team} THEN x.extras ELSE 0 END) AS INTEGER) AS extra_bowls_played_by_team_{s},
-    CAST(SUM(CASE WHEN x.team_name = m.{team} THEN x.extra_runs ELSE 0 END) AS INTEGER) AS extra_runs_scored_by_team_{s},
-    0::INTEGER AS fours_by_team_{s}, 0::INTEGER AS sixes_by_team_{s},
-    CAST(SUM(CASE WHEN x.team_name = m.{team} THEN x.runs ELSE 0 END) + SUM(CASE WHEN x.team_name = m.{team} THEN x.extra_runs ELSE 0 END) AS INTEGER) AS total_score_by_team_{s},
-    CAST(SUM(CASE WHEN x.team_name = m.{team} AND x.player_out IS NOT NULL THEN 1 ELSE 0 END) AS INTEGER) AS wicket_lost_by_team_{s}"""
+_SUMS = """
+    coalesce({x}.overs, 0)::INTEGER AS overs_played_by_team_{s}, coalesce({x}.balls, 0)::INTEGER AS bowls_played_by_team_{s},
+    coalesce({x}.extras, 0)::INTEGER AS extra_bowls_played_by_team_{s}, coalesce({x}.extra_runs, 0)::INTEGER AS extra_runs_scored_by_team_{s},
+    0 AS fours_by_team_{s}, 0 AS sixes_by_team_{s},
+    (coalesce({x}.runs, 0) + coalesce({x}.extra_runs, 0))::INTEGER AS total_score_by_team_{s}, coalesce({x}.lost, 0)::INTEGER AS wicket_lost_by_team_{s}"""
+# Ids are looked up in maps, and deliveries added up per match and team; a match or ball with an unknown id drops out.
 FACT_SQL = f"""
 wide AS (
   SELECT k, match_type_number, team_name, CAST(over + 1 AS INTEGER) AS over, bowler, batter, non_striker, runs, extras, e.e AS extra_type,
     CASE e.e WHEN 'wides' THEN 1 WHEN 'legbyes' THEN 2 END AS extra_runs, player_out, player_out_kind
-  FROM balls, UNNEST(extra_list) AS e(e) WHERE match_type_number IS NOT NULL
+  FROM balls, UNNEST(extra_list) AS e(e)
+),
+ids AS (
+  SELECT (SELECT map(list(team_name), list(team_id)) FROM teams) AS team, (SELECT map(list(full_dt), list(date_id)) FROM days) AS day,
+    (SELECT map(list(match_type), list(match_type_id)) FROM kinds) AS kind, (SELECT map(list({{'v': venue_name, 'c': city}}), list(venue_id)) FROM venues) AS place,
+    (SELECT map(list(player_name), list(player_id)) FROM people WHERE trim(player_name) <> '') AS player,
+    (SELECT map(list({{'t': team_id, 'p': player_name}}), list(player_id)) FROM people) AS member
+),
+team_sums AS (
+  SELECT match_type_number, team_name, MAX(over) AS overs, COUNT(*) AS balls, SUM(extras) AS extras, SUM(extra_runs) AS extra_runs, SUM(runs) AS runs, COUNT(player_out) AS lost
+  FROM wide GROUP BY ALL
 ),
 match_fact AS (
-  SELECT m.match_type_number AS match_id, date_id, 0::INTEGER AS referee_id, fa.team_id AS team_a_id, fb.team_id AS team_b_id, match_type_id, venue_id,
-    50::INTEGER AS total_overs, 6::INTEGER AS balls_per_over, {_SIDE.format(team='first_team', s='a')}, {_SIDE.format(team='second_team', s='b')},
-    tw.team_id AS toss_winner_team_id, m.toss_decision, m.match_result, mw.team_id AS winner_team_id
-  FROM detail m JOIN days ON m.event_date = full_dt JOIN teams fa ON m.first_team = fa.team_name JOIN teams fb ON m.second_team = fb.team_name
-  JOIN kinds USING (match_type) JOIN venues v ON m.venue = v.venue_name AND m.city = v.city JOIN wide x ON x.match_type_number = m.match_type_number
-  JOIN teams tw ON m.toss_winner = tw.team_name JOIN teams mw ON m.winner = mw.team_name
-  GROUP BY ALL
+  SELECT m.match_type_number AS match_id, day[event_date] AS date_id, 0 AS referee_id, team[first_team] AS team_a_id, team[second_team] AS team_b_id,
+    kind[match_type] AS match_type_id, place[{{'v': venue, 'c': city}}] AS venue_id, 50 AS total_overs, 6 AS balls_per_over, {_SUMS.format(x='a', s='a')}, {_SUMS.format(x='b', s='b')},
+    team[toss_winner] AS toss_winner_team_id, toss_decision, match_result, team[winner] AS winner_team_id
+  FROM ids, (FROM detail SEMI JOIN team_sums USING (match_type_number)) m
+  LEFT JOIN team_sums a ON a.match_type_number = m.match_type_number AND a.team_name = m.first_team
+  LEFT JOIN team_sums b ON b.match_type_number = m.match_type_number AND b.team_name = m.second_team
+  WHERE date_id + team_a_id + team_b_id + match_type_id + venue_id + toss_winner_team_id + winner_team_id IS NOT NULL
 )"""
-DELIVERY_FACT_SQL = """
+_BALL_DETAILS = """over, runs, coalesce(extra_runs, 0)::INTEGER AS extra_runs,
+    coalesce(extra_type, 'None') AS extra_type, coalesce(player_out, 'None') AS player_out, coalesce(player_out_kind, 'None') AS player_out_kind"""
+DELIVERY_FACT_SQL = f"""
 delivery_fact AS (
-  SELECT d.match_type_number AS match_id, td.team_id, b.player_id AS bowler_id, s.player_id AS batter_id, n.player_id AS non_striker_id, d.over, d.runs,
-    CAST(coalesce(d.extra_runs, 0) AS INTEGER) AS extra_runs, coalesce(d.extra_type, 'None') AS extra_type, coalesce(d.player_out, 'None') AS player_out, coalesce(d.player_out_kind, 'None') AS player_out_kind
-  FROM wide d JOIN teams td ON d.team_name = td.team_name JOIN people b ON d.bowler = b.player_name JOIN people s ON d.batter = s.player_name JOIN people n ON d.non_striker = n.player_name
+  SELECT match_type_number AS match_id, team[team_name] AS team_id, player[bowler] AS bowler_id, player[batter] AS batter_id, player[non_striker] AS non_striker_id, {_BALL_DETAILS}
+  FROM wide, ids WHERE team_id + bowler_id + batter_id + non_striker_id IS NOT NULL
 )"""
 BRIDGE_SQL = "bridged AS (SELECT * FROM (SELECT DISTINCT match_id, team_id FROM delivery_fact) JOIN teams USING (team_id) JOIN match_fact USING (match_id))"
 
@@ -69,7 +78,7 @@ def _clean(t) -> tuple:
     raw = match_raw(t)
     matches = landed(t, "clean_match", lambda: star.clean_match_detail(raw))
     players = landed(t, "clean_player", lambda: star.clean_players(raw, cleaned=False))
-    deliveries = landed(t, "clean_delivery", lambda: star.clean_deliveries(raw).filter("match_type_number is not null"))
+    deliveries = landed(t, "clean_delivery", lambda: star.clean_deliveries(raw))
     return matches, players, deliveries
 
 
@@ -216,12 +225,13 @@ def delivery_fact(t):
 
 @query(
     "delivery_fact_team_aware", "J9 D3",
-    with_star("""
-    SELECT d.match_type_number AS match_id, td.team_id, b.player_id AS bowler_id, s.player_id AS batter_id, n.player_id AS non_striker_id, d.over, d.runs,
-      CAST(coalesce(d.extra_runs, 0) AS INTEGER) AS extra_runs, coalesce(d.extra_type, 'None') AS extra_type, coalesce(d.player_out, 'None') AS player_out, coalesce(d.player_out_kind, 'None') AS player_out_kind
-    FROM wide d JOIN detail m ON m.match_type_number = d.match_type_number JOIN teams td ON d.team_name = td.team_name
-    JOIN teams o ON o.team_name = CASE WHEN d.team_name = m.first_team THEN m.second_team ELSE m.first_team END
-    JOIN people b ON d.bowler = b.player_name AND b.team_id = o.team_id JOIN people s ON d.batter = s.player_name AND s.team_id = td.team_id JOIN people n ON d.non_striker = n.player_name AND n.team_id = td.team_id
+    with_star(f"""
+    SELECT match_type_number AS match_id, team[team_name] AS team_id, member[{{'t': other, 'p': bowler}}] AS bowler_id,
+      member[{{'t': team_id, 'p': batter}}] AS batter_id, member[{{'t': team_id, 'p': non_striker}}] AS non_striker_id, {_BALL_DETAILS}
+    FROM ids, (
+      SELECT w.*, (SELECT team FROM ids)[CASE w.team_name WHEN m.first_team THEN m.second_team ELSE m.first_team END] AS other
+      FROM wide w JOIN detail m USING (match_type_number))
+    WHERE other + team_id + bowler_id + batter_id + non_striker_id IS NOT NULL
     """),
 )
 def delivery_fact_team_aware(t):
