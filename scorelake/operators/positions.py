@@ -40,26 +40,33 @@ def number_rows(df: DataFrame, order: list, as_: str = "row_id", start: Column |
     )
 
 
-def number_in_groups(df: DataFrame, keys: list[str], order: list, bucket: Column, as_: str = "row_id") -> DataFrame:
-    """``ROW_NUMBER`` per ``keys``; ``bucket`` must never decrease along ``order``.
+def number_in_groups(
+    df: DataFrame, keys: list[str], order: list, bucket: Column, as_: str = "row_id", descending: bool = False, nulls_first: bool | None = None
+) -> DataFrame:
+    """``ROW_NUMBER`` per ``keys``.
 
-    The window and the join share the partitioning by ``_k``, so the rows are shuffled once.
+    ``bucket`` must never decrease along ``order``, or never increase where ``descending``; its
+    NULLs stand where ``order`` puts them: first when ascending and last when descending, as
+    Spark sorts, unless ``nulls_first`` says otherwise. The window and the join share the
+    partitioning by ``_k``, so the rows are shuffled once.
     """
+    first = (not descending) if nulls_first is None else nulls_first
     bucketed = _with_bucket(df, keys, bucket)
     local = bucketed.withColumn("_local", F.row_number().over(Window.partitionBy("_k").orderBy(*order)))
     sizes = bucketed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    along = F.col("_k._bucket").desc_nulls_first() if _is_descending(order[0]) else F.col("_k._bucket").asc_nulls_last()
+    place = F.col("_k._bucket")
+    along = (place.desc_nulls_first() if first else place.desc_nulls_last()) if descending else (place.asc_nulls_first() if first else place.asc_nulls_last())
     before = Window.partitionBy(*(F.col(f"_k.{k}") for k in keys)).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_k", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return local.join(offsets, "_k").withColumn(as_, (F.col("_local") + F.col("_before")).cast("long")).drop("_k", "_local", "_before")
 
 
-def lag_in_groups(df: DataFrame, keys: list[str], order: str, value: str, bucket: Column, as_: str) -> DataFrame:
-    """``LAG(value)`` per ``keys`` in ascending ``order``; ``bucket`` must never decrease along it."""
+def lag_in_groups(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column, as_: str) -> DataFrame:
+    """``LAG(value)`` per ``keys`` in ascending ``order``, which should be total; ``bucket`` must never decrease along it."""
     bucketed = _with_bucket(df, keys, bucket)
-    inside = Window.partitionBy("_k").orderBy(order)
+    inside = Window.partitionBy("_k").orderBy(*order)
     local = bucketed.withColumns({"_lag": F.lag(value).over(inside), "_first": F.row_number().over(inside) == 1})
-    last = bucketed.groupBy("_k").agg(F.max_by(value, order).alias("_last"))
+    last = bucketed.groupBy("_k").agg(F.max(F.struct(*order, F.col(value).alias("_value")))["_value"].alias("_last"))
     across = Window.partitionBy(*(F.col(f"_k.{k}") for k in keys)).orderBy(F.col("_k._bucket").asc_nulls_first())
     carried = last.select("_k", F.lag("_last").over(across).alias("_carry"))
     return local.join(carried, "_k").withColumn(
@@ -105,10 +112,6 @@ def best_by(value: str, measure: str) -> Column:
     return F.struct((-best["m"]).alias(measure), best["v"].alias(value))
 
 
-def _is_descending(order) -> bool:
-    return isinstance(order, Column) and " DESC" in str(order)
-
-
 def _with_bucket(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
     """Key and bucket as one struct column; a struct is never NULL itself, so NULL keys join like others."""
     return df.withColumn("_k", F.struct(*keys, bucket.alias("_bucket")))

@@ -31,16 +31,16 @@ def between_dates(day: str, first: str, after_last: str) -> Column:
     return (F.col(day) >= F.lit(first).cast("timestamp_ntz")) & (F.col(day) < F.lit(after_last).cast("timestamp_ntz"))
 
 
-def returns(df: DataFrame, series: str, day: str, value: str, bucket: Column, as_: str) -> DataFrame:
-    """Relative change against the previous observation of the same series."""
-    lagged = lag_in_groups(df, [series], day, value, bucket, "_previous")
+def returns(df: DataFrame, series: str, day: str, value: str, bucket: Column, as_: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Relative change against the previous observation of the same series; ``ties`` order observations of one time."""
+    lagged = lag_in_groups(df, [series], [day, *ties], value, bucket, "_previous")
     change = F.col(value) / F.nullif(F.col("_previous"), F.lit(0)) - 1
     return lagged.withColumn(as_, change).drop("_previous")
 
 
-def weekly_volatility(df: DataFrame, series: str, day: str, value: str, bucket: Column, min_rows: int = 3) -> DataFrame:
+def weekly_volatility(df: DataFrame, series: str, day: str, value: str, bucket: Column, min_rows: int = 3, ties: tuple[str, ...] = ()) -> DataFrame:
     """Sample deviation of returns per week, in percent; weeks with few observations are left out."""
-    changes = returns(df, series, day, value, bucket, "_return").filter(F.col("_return").isNotNull())
+    changes = returns(df, series, day, value, bucket, "_return", ties).filter(F.col("_return").isNotNull())
     return (
         changes.groupBy(bucket_date("week", F.col(day)).alias("week_start"), F.col(series))
         .agg(F.round(F.stddev_samp("_return") * 100, 4).alias("volatility_pct"), F.count(F.lit(1)).alias("_n"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.fixed_values import MISSING_DATE, MISSING_NUMBER, SCORE_BRONZE_INVALID, SOURCE_SYSTEM
+from scorelake.fixed_values import MISSING_DATE, MISSING_NUMBER, NULL_SHARE_BRONZE, SCORE_BRONZE_INVALID, SOURCE_SYSTEM
 from scorelake.functions.casts import safe_date, safe_int
 from scorelake.functions.dates import as_of_literal
 from scorelake.functions.text import drop_null_literals
 from scorelake.operators.nested import flatten_array, flatten_map, path
-from scorelake.operators.quality import Rule, status_and_score
+from scorelake.operators.quality import Rule, apply_null_gate, status_and_score
 from scorelake.sources.documents import LINEAGE
 
 # Texts stay texts here; numbers are cast one by one so that a bad one cannot spoil its row.
@@ -176,6 +176,14 @@ def _present(*columns: str) -> list[Rule]:
     return [Rule(c, F.col(c).isNotNull()) for c in columns]
 
 
+GATED = {"player": ["player_name"]}
+
+
+def gate(df: DataFrame, kind: str, threshold: float = NULL_SHARE_BRONZE) -> DataFrame:
+    """Mark rows with NULLs in watched columns INVALID when too many have them; scores stay."""
+    return apply_null_gate(df, GATED[kind], threshold, score=None)
+
+
 def bronze_players(raw: DataFrame, as_of=None) -> DataFrame:
     rows = flat_players(raw).withColumn("match_type_number", F.coalesce("match_type_number", F.lit(MISSING_NUMBER)))
     return _audit(rows, [_number_known(), *_present("country", "player_name")], as_of)

@@ -135,7 +135,7 @@ def player_performance(players: DataFrame, deliveries: DataFrame, matches: DataF
     keys = ["player_name", "country"]
     order = [F.col(c).asc_nulls_last() for c in ("_day", "match_type_number", "stg_file_name", "stg_file_hashkey", "stg_file_row_number")]
     # read twice below, so it is written out once
-    placed = number_in_groups(pinned(filled), keys, order, F.trunc("_day", "month"), "_pos")
+    placed = number_in_groups(pinned(filled), keys, order, F.trunc("_day", "month"), "_pos", nulls_first=False)
     rolled = rolling_in_groups(placed, keys, "_pos", 5, {"_sum": F.sum("runs_scored"), "_cnt": F.count("runs_scored")})
     shaped = rolled.withColumns(
         {

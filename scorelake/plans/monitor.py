@@ -44,15 +44,16 @@ def log_row(spark, task: str, status: str, rows: int | None = None, affected: in
 def logged(lake, task: str, step, log: str = "run_log"):
     """Run one stage and log it; a failure is logged and raised again.
 
-    ``step`` returns the number of rows it handled, or None.
+    ``step`` returns the number of rows it handled, or None; a pair gives the status as well.
     """
     started = time.time()
     try:
         rows = step()
     except Exception as error:
-        lake.append(log, log_row(lake.spark, task, "FAILED", error=str(error)[:4000], seconds=int(time.time() - started)))
+        lake.append(log, log_row(lake.spark, task, "FAILED", error=str(error), seconds=int(time.time() - started)))
         raise
-    lake.append(log, log_row(lake.spark, task, "SUCCESS", rows=rows, affected=rows, seconds=int(time.time() - started)))
+    rows, status = rows if isinstance(rows, tuple) else (rows, "SUCCESS")
+    lake.append(log, log_row(lake.spark, task, status, rows=rows, affected=rows, seconds=int(time.time() - started)))
     return rows
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import functions as F
 
-from scorelake.fixed_values import CLUSTER_KEYS
+from scorelake.fixed_values import CLUSTER_KEYS, INVALID
 from scorelake.operators.quality import null_in
 from scorelake.operators.upsert import absent_facts, insert_missing
 from scorelake.plans import bronze, gold, marts, monitor, silver, star
 from scorelake.sources.tables import Lake
-from scorelake.streaming.changes import change_stream, fan_out, run_available, table_stream, upsert_into
+from scorelake.streaming.changes import change_log, change_stream, fan_out, run_available, table_stream, upsert_into
 from scorelake.streaming.ingest import stream_files
 
 _BRONZE = {
@@ -21,62 +23,111 @@ _SILVER = {"player": silver.silver_players, "delivery": silver.silver_deliveries
 VERSION = "stg_modified_ts"
 
 
-def load_bronze(lake: Lake, as_of=None) -> None:
-    """New raw rows to the three bronze tables, in order, from one micro-batch each."""
+def _count(lake: Lake, *names: str) -> int:
+    """Rows of the tables that exist; parquet footers answer it."""
+    return sum(lake.read(name).count() for name in names if lake.exists(name))
+
+
+def _added(lake: Lake, names: list[str], stage: Callable[[], object]) -> int:
+    """Run a stage and tell how many rows it added to these tables."""
+    before = _count(lake, *names)
+    stage()
+    return _count(lake, *names) - before
+
+
+def load_raw(lake: Lake, source: str) -> int:
+    return _added(lake, ["raw", "rejects"], lambda: stream_files(lake, source, lake.path("_checkpoints/raw")))
+
+
+def load_bronze(lake: Lake, as_of=None) -> int:
+    """New raw rows to the three bronze tables, in order, from one micro-batch each; returns the rows written."""
     handlers = [
         upsert_into(lake, f"bronze_{kind}", keys, VERSION, lambda raw, make=make: make(raw, as_of))
         for kind, (make, keys) in _BRONZE.items()
     ]
-    run_available(table_stream(lake, "raw"), fan_out(*handlers), lake.path("_checkpoints/bronze"))
+    load = lambda: run_available(table_stream(lake, "raw"), fan_out(*handlers), lake.path("_checkpoints/bronze"))
+    return _added(lake, [change_log(f"bronze_{kind}") for kind in _BRONZE], load)
+
+
+def load_silver(lake: Lake, as_of=None) -> int:
+    """Bronze changes to silver, each table with its own reader; returns the rows written."""
 
+    def load() -> None:
+        for kind, make in _SILVER.items():
+            name = f"bronze_{kind}"
+            if lake.exists(change_log(name)):
+                handler = upsert_into(lake, f"silver_{kind}", _BRONZE[kind][1], VERSION, lambda rows, make=make: make(rows, as_of))
+                run_available(change_stream(lake, name), fan_out(handler), lake.path(f"_checkpoints/silver_{kind}"))
 
-def load_silver(lake: Lake, as_of=None) -> None:
-    """Bronze changes to silver, each table with its own reader."""
-    for kind, make in _SILVER.items():
-        name = f"bronze_{kind}"
-        if not lake.exists(name + "__changes"):
+    return _added(lake, [change_log(f"silver_{kind}") for kind in _SILVER], load)
+
+
+def _gate(lake: Lake, layer: str, gates: dict, gate: Callable) -> int:
+    """Mark rows with NULLs where their share is too high; rewrites only the partitions that change, returns the rows looked at."""
+    seen = 0
+    for kind, columns in gates.items():
+        name = f"{layer}_{kind}"
+        if not lake.exists(name):
             continue
-        handler = upsert_into(lake, f"silver_{kind}", _BRONZE[kind][1], VERSION, lambda rows, make=make: make(rows, as_of))
-        run_available(change_stream(lake, name), fan_out(handler), lake.path(f"_checkpoints/silver_{kind}"))
+        rows = lake.read(name)
+        seen += rows.count()
+        gated = gate(rows, kind)
+        marked = gated.filter(null_in(columns) & (F.col("data_quality_status") == INVALID))
+        before = rows.filter(null_in(columns) & (F.col("data_quality_status") == INVALID))
+        if marked.count() != before.count() or layer == "silver":
+            touched = [row[0] for row in marked.select("bucket").distinct().collect()]  # bounded by the bucket count
+            if touched:
+                lake.rewrite_partitions(name, gated.filter(F.col("bucket").isin(touched)), "bucket")
+    return seen
+
+
+def gate_bronze(lake: Lake) -> int:
+    return _gate(lake, "bronze", bronze.GATED, bronze.gate)
 
 
-def gate_silver(lake: Lake) -> None:
-    """Mark silver rows with NULLs where their share is too high; only touched partitions are rewritten."""
-    for kind, columns in silver.GATED.items():
-        name = f"silver_{kind}"
-        gated = silver.gate(lake.read(name), kind)
-        hit = gated.filter(null_in(columns) & (F.col("data_quality_score") == 0.3)).select("bucket").distinct()
-        touched = [row[0] for row in hit.collect()]  # bounded by the bucket count
-        if touched:
-            lake.rewrite_partitions(name, gated.filter(F.col("bucket").isin(touched)), "bucket")
+def gate_silver(lake: Lake) -> int:
+    return _gate(lake, "silver", silver.GATED, silver.gate)
 
 
-def refresh_gold(lake: Lake, as_of=None) -> None:
+def refresh_gold(lake: Lake, as_of=None) -> int:
     players, deliveries, matches = (lake.read(f"silver_{kind}") for kind in ("player", "delivery", "match"))
-    for name, df in (
-        ("gold_player_dim", gold.player_dim(players, as_of)),
-        ("gold_delivery_fact", gold.delivery_fact(deliveries, as_of)),
-        ("gold_match_dim", gold.match_dim(matches, as_of)),
-    ):
+    made = {
+        "gold_player_dim": gold.player_dim(players, as_of),
+        "gold_delivery_fact": gold.delivery_fact(deliveries, as_of),
+        "gold_match_dim": gold.match_dim(matches, as_of),
+    }
+    for name, df in made.items():
         lake.replace(name, df, CLUSTER_KEYS[name])
+    return _count(lake, *made)
 
 
-def refresh_marts(lake: Lake, as_of=None) -> None:
+def refresh_marts(lake: Lake, as_of=None) -> int:
     players, deliveries, matches = (lake.read(n) for n in ("gold_player_dim", "gold_delivery_fact", "gold_match_dim"))
     lake.replace("player_performance", marts.player_performance(players, deliveries, matches, as_of), CLUSTER_KEYS["player_performance"])
     lake.replace("match_summary", marts.match_summary(matches, deliveries, as_of), CLUSTER_KEYS["match_summary"])
+    return _count(lake, "player_performance", "match_summary")
+
+
+def validate_marts(lake: Lake) -> tuple[int, str]:
+    """Rows of all gold tables, and WARNING where a required one is empty."""
+    required = {n: lake.read(n) for n in ("gold_player_dim", "gold_delivery_fact", "gold_match_dim")}
+    others = {n: lake.read(n) for n in ("player_performance", "match_summary")}
+    found = monitor.mart_validation(required, others).first()
+    return found["rows_processed"], found["status"]
 
 
 def run_layers(spark, source: str, root: str, as_of=None) -> Lake:
     """Files to raw, bronze, silver, gold and marts; every stage is logged in ``run_log``."""
     lake = Lake(spark, root)
     stages = {
-        "load_raw": lambda: stream_files(lake, source, lake.path("_checkpoints/raw")) and None,
+        "load_raw": lambda: load_raw(lake, source),
         "load_bronze": lambda: load_bronze(lake, as_of),
+        "bronze_validation": lambda: gate_bronze(lake),
         "load_silver": lambda: load_silver(lake, as_of),
         "silver_validation": lambda: gate_silver(lake),
         "refresh_gold": lambda: refresh_gold(lake, as_of),
         "refresh_marts": lambda: refresh_marts(lake, as_of),
+        "mart_validation": lambda: validate_marts(lake),
     }
     for name, stage in stages.items():
         monitor.logged(lake, name, stage)

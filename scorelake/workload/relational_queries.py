@@ -296,10 +296,10 @@ def rolling_five(t):
     return rolled.select("event_id", "user_id", F.round(F.col("s").cast("double") / F.col("n"), 2).alias("rolling_avg"))
 
 
-@query("lag_value", "F6", "SELECT event_id, event_type, lag(value) OVER (PARTITION BY event_type ORDER BY ts) AS previous FROM events")
+@query("lag_value", "F6", "SELECT event_id, event_type, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous FROM events")
 def lag_value(t):
     rows = t.events.select("event_id", "event_type", "ts", "value")
-    lagged = lag_in_groups(rows, ["event_type"], "ts", "value", F.date_trunc("hour", F.col("ts").cast("timestamp")), "previous")
+    lagged = lag_in_groups(rows, ["event_type"], ["ts", "event_id"], "value", F.date_trunc("hour", F.col("ts").cast("timestamp")), "previous")
     return lagged.select("event_id", "event_type", "previous")
 
 

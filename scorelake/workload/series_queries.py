@@ -43,13 +43,13 @@ def monthly_average_with_stations(t):
 
 @query(
     "weekly_volatility", "N4 F6 E7 E10",
-    f"""WITH r AS (SELECT event_type, ts, value / nullif(lag(value) OVER (PARTITION BY event_type ORDER BY ts), 0) - 1 AS ret FROM events)
+    f"""WITH r AS (SELECT event_type, ts, value / nullif(lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id), 0) - 1 AS ret FROM events)
     SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, {rounded('stddev_samp(ret) * 100', 4)} AS volatility_pct FROM r WHERE ret IS NOT NULL GROUP BY 1, 2 HAVING COUNT(*) >= 3""",
 )
 def weekly_volatility_of_events(t):
     """The lag is taken per hour bucket and carried over bucket borders, so one busy series is not one task."""
     bucket = F.date_trunc("hour", F.col("ts").cast("timestamp"))
-    return weekly_volatility(t.events.select("event_type", "ts", "value"), "event_type", "ts", "value", bucket)
+    return weekly_volatility(t.events.select("event_id", "event_type", "ts", "value"), "event_type", "ts", "value", bucket, ties=("event_id",))
 
 
 @query(

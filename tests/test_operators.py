@@ -24,8 +24,15 @@ def same(a, b):
 
 
 def test_numbers_in_groups_match_a_plain_window(skewed):
-    for order, bucket in (([F.col("o").asc(), F.col("id").asc()], F.floor(F.col("o") / 100)), ([F.col("o").desc(), F.col("id").desc()], F.floor(F.col("o") / 50))):
-        got = number_in_groups(skewed, ["k"], order, bucket, "n")
+    skewed = skewed.withColumn("o", F.when(F.col("id") % 17 != 0, F.col("o")))  # NULL order values as well
+    o, small = F.col("o"), F.floor(F.col("o") / 50)
+    cases = [
+        (o.asc(), {}), (o.desc(), {"descending": True}), (o.asc_nulls_last(), {"nulls_first": False}),
+        (o.desc_nulls_first(), {"descending": True, "nulls_first": True}),
+    ]
+    for first, how in cases:
+        order = [first, F.col("id").asc()]
+        got = number_in_groups(skewed, ["k"], order, small, "n", **how)
         want = skewed.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("long"))
         same(got.select("id", "n"), want.select("id", "n"))
 
@@ -39,7 +46,7 @@ def test_global_numbers_are_dense_and_ordered(skewed):
 
 def test_lag_crosses_bucket_borders(skewed):
     rows = skewed.withColumn("t", F.col("o") * 10000 + F.col("id"))
-    got = lag_in_groups(rows, ["k"], "t", "v", F.floor(F.col("t") / 300000), "prev")
+    got = lag_in_groups(rows, ["k"], ["t", "id"], "v", F.floor(F.col("t") / 300000), "prev")
     want = rows.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
     same(got.select("id", "prev"), want.select("id", "prev"))
 

@@ -33,7 +33,10 @@ def test_layers_from_files_to_marts(spark, tmp_path):
     assert lake.read("silver_delivery").count() == 18 and lake.read("match_summary").count() == 3
     performance = lake.read("player_performance").filter("player_name = 'A One'").orderBy("match_type_number").collect()
     assert [(r.balls_faced, r.runs_scored, r.wickets_taken, r.role_type) for r in performance] == [(3, 4, 2, "All-rounder")] * 3
-    assert lake.read("run_log").filter("status = 'SUCCESS'").count() == 18
+    assert lake.read("run_log").filter("status = 'SUCCESS'").count() == 24
+    assert lake.read("run_log").filter("rows_processed IS NULL").count() == 0
+    loaded = [r.rows_processed for r in lake.read("run_log").filter("task_name = 'load_raw'").collect()]
+    assert sorted(loaded) == [0, 1, 3]
 
 
 def test_star_keeps_ids_over_loads(spark, tmp_path):
