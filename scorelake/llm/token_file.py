@@ -30,7 +30,7 @@ from scorelake.llm.common import stored
 
 MAGIC = b"TIDS0001"
 BLOCK = 4096
-FILE_IDS = 8 << 20
+FILE_IDS = 12 << 20
 PARTITION_BYTES = 24 << 20
 SLOTS = 2048  # of a context table, per block
 MIX_BITS = 12
@@ -46,22 +46,22 @@ class Model:
     """The predictions of every block at one id position, for encoder and decoder alike."""
 
     def __init__(self, blocks: int):
-        self.lane = np.arange(blocks)
-        self.one, self.two = np.zeros(blocks * SLOTS, np.int64), np.zeros(blocks * SLOTS, np.int64)  # id << 2 | confidence
+        self.slots, self.mixes = np.arange(blocks) * SLOTS, np.arange(blocks) * 32
+        self.one, self.two = np.zeros(blocks * SLOTS, np.int32), np.zeros(blocks * SLOTS, np.int32)  # id << 2 | confidence; ids stay below 1 << FREQUENCY_BITS
         confidence = np.arange(32)
         start2, start1 = np.array([40, 1200, 2400, 3600])[confidence >> 3], np.array([40, 500, 1000, 1800])[(confidence >> 1) & 3]
-        self.trust2, self.trust1 = np.tile(start2, blocks), np.tile(start1, blocks)
-        self.before = np.zeros(blocks, np.int64)
-        self.before2 = np.zeros(blocks, np.int64)
+        self.trust2, self.trust1 = np.tile(start2.astype(np.int32), blocks), np.tile(start1.astype(np.int32), blocks)
+        self.before = np.zeros(blocks, np.int32)
+        self.before2 = np.zeros(blocks, np.int32)
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For the first n blocks: the ids of order 2 and 1, and the shares given to them."""
-        lane, one = self.lane[:n], self.before[:n]
-        self.at1 = lane * SLOTS + ((one * 40503) >> 3 & SLOTS - 1)
-        self.at2 = lane * SLOTS + ((one * 40503 + self.before2[:n] * 62233) >> 4 & SLOTS - 1)
+        mixed = self.before[:n] * np.int32(403)
+        self.at1 = self.slots[:n] + (mixed >> 1 & SLOTS - 1)
+        self.at2 = self.slots[:n] + ((mixed ^ self.before2[:n] * np.int32(77)) & SLOTS - 1)
         self.entry1, self.entry2 = self.one.take(self.at1), self.two.take(self.at2)
         self.id1, self.id2 = self.entry1 >> 2, self.entry2 >> 2
-        self.context = lane * 32 + ((self.entry2 & 3) << 3 | (self.entry1 & 3) << 1 | (self.id1 == self.id2))
+        self.context = self.mixes[:n] + ((self.entry2 & 3) << 3 | (self.entry1 & 3) << 1 | (self.id1 == self.id2))
         self.share2, self.share1 = self.trust2.take(self.context), self.trust1.take(self.context)
         return self.id2, self.id1, self.share2, np.maximum(((1 << MIX_BITS) - self.share2) * self.share1 >> MIX_BITS, 1)  # a share of 0 could not be coded
 
@@ -92,7 +92,7 @@ def _frequencies(counts: np.ndarray) -> np.ndarray:
 def encode_blocks(ids: np.ndarray, cumulative: np.ndarray) -> list[np.ndarray]:
     """The 16-bit words of each block; ids are places in the frequency table."""
     blocks = -(-len(ids) // BLOCK)
-    grid = np.zeros(blocks * BLOCK, np.int64)
+    grid = np.zeros(blocks * BLOCK, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(blocks, BLOCK).T)
     last = len(ids) - (blocks - 1) * BLOCK
@@ -145,7 +145,7 @@ def decode_blocks(words: np.ndarray, starts: np.ndarray, total: int, cumulative:
     """The ids of all blocks, whose words begin at ``starts``."""
     blocks = len(starts)
     words = np.concatenate([words, np.zeros(4, words.dtype)]).astype(np.uint64)
-    grid = np.zeros((BLOCK, blocks), np.int64)
+    grid = np.zeros((BLOCK, blocks), np.int32)
     last = total - (blocks - 1) * BLOCK
     model = Model(blocks)
     value = words[starts] << np.uint64(32) | words[starts + 1] << _SHIFT | words[starts + 2]
@@ -162,7 +162,7 @@ def decode_blocks(words: np.ndarray, starts: np.ndarray, total: int, cumulative:
             break
         id2, id1, share2, share1 = model.predict(n)
         unit = width[:n] >> np.uint64(MIX_BITS)
-        place = np.minimum(value[:n] // unit, np.uint64((1 << MIX_BITS) - 1)).astype(np.int64)
+        place = np.minimum(value[:n] // unit, np.uint64((1 << MIX_BITS) - 1)).astype(np.int32)
         hit2 = place < share2
         hit1 = ~hit2 & (place < share2 + share1)
         now = np.where(hit2, id2, id1)
