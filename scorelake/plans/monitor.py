@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -122,10 +122,14 @@ def freshness_lights(tables: dict[str, tuple[DataFrame, str]], as_of=None) -> Da
                          freshness_class(F.col("minutes_since_refresh")).alias("freshness_status"))
 
 
+def fresh_enough(last: Column, now: Column, limit_minutes: int = STALE_MINUTES) -> Column:
+    """Whether the last load is at most ``limit_minutes`` old; without any load there is no age to exceed."""
+    return ~F.coalesce(minutes_between(last, now) > limit_minutes, F.lit(False))
+
+
 def healthy(df: DataFrame, loaded_at: str, limit_minutes: int = STALE_MINUTES, as_of=None) -> DataFrame:
-    """One boolean: the last load is at most ``limit_minutes`` old; without any load there is no age to exceed."""
-    age = df.agg(F.max(loaded_at).alias("last")).select(minutes_between(F.col("last"), as_of_literal(as_of)).alias("age"))
-    return age.select((~F.coalesce(F.col("age") > limit_minutes, F.lit(False))).alias("healthy"))
+    """One boolean for the table: see ``fresh_enough``."""
+    return df.agg(F.max(loaded_at).alias("last")).select(fresh_enough(F.col("last"), as_of_literal(as_of), limit_minutes).alias("healthy"))
 
 
 def check_data_freshness(df: DataFrame, loaded_at: str, limit_minutes: int = STALE_MINUTES, as_of=None) -> bool:

@@ -3,6 +3,7 @@
 from scorelake.workload import (  # noqa: F401
     dimension_queries,
     layer_queries,
+    load_queries,
     mutation_queries,
     nested_queries,
     quality_queries,
