@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scorelake.operators.upsert import missing_members
 from scorelake.plans import star, visuals
 from scorelake.sources.tables import date_list
-from scorelake.workload.match_docs import landed, match_raw, with_all, with_deliveries, with_matches, with_players
+from scorelake.workload.match_docs import landed, match_raw, with_all, with_matches, with_players
 from scorelake.workload.registry import query, titled
 
 _RESULT = "CASE WHEN winner IS NOT NULL THEN 'Result Declared' WHEN result = 'tie' THEN 'Tie' WHEN result = 'no result' THEN 'No Result' ELSE result END"

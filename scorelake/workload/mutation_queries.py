@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from scorelake.operators.quality import apply_null_gate
 from scorelake.operators.upsert import absent_facts, append_versions, changed_rows, insert_missing, upsert_newer
-from scorelake.plans import bronze, silver, star
+from scorelake.plans import bronze, silver
 from scorelake.plans.refresh import VERSION
 from scorelake.session import fresh_dir
-from scorelake.sources.tables import Lake, clustered, delete_where, empty_like, month_slice, split_archive, update_where
+from scorelake.sources.tables import Lake, delete_where, empty_like, month_slice, split_archive, update_where
 from scorelake.streaming.changes import append_into, change_stream, fan_out, insert_missing_into, run_available, stream_lag, upsert_into
-from scorelake.workload.match_docs import match_raw, with_deliveries, with_matches, with_players
+from scorelake.workload.match_docs import match_raw, with_all, with_deliveries, with_players
 from scorelake.workload.registry import cleaned, query
 
 _STORED = "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate AS version FROM orders WHERE o_orderkey % 4 <> 0"
@@ -147,6 +147,36 @@ def silver_insert_only_merge(t):
     return fresh.groupBy("stg_file_name", "batter").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _layer_merge(name: str, covers: str, rows_of, keys: list[str], marker: str, body: str):
+    """Newer-wins merge of layer rows under their real keys: three quarters are stored, a batch brings new, newer and equally old ones."""
+
+    sql = with_all(f"""
+    SELECT r.stg_file_name, CASE WHEN r.k % 4 = 0 OR r.k % 3 = 0 THEN 'Changed' ELSE r.{marker} END AS {marker},
+      m.m + CASE WHEN r.k % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS stg_modified_ts
+    FROM ({body}) r JOIN matches m ON m.k = r.k WHERE r.k % 4 <> 0 OR r.k % 2 = 0 OR r.k % 3 = 0""")
+
+    @query(name, covers, sql)
+    def merged(t):
+        rows = rows_of(match_raw(t)).withColumn("k", F.regexp_extract("stg_file_name", r"\d+", 0).cast("bigint"))
+        newer = F.when(F.col("k") % 3 == 0, F.col(VERSION) + F.expr("INTERVAL 1 DAY")).otherwise(F.col(VERSION))
+        batch = rows.filter("k % 2 = 0 OR k % 3 = 0").withColumns({marker: F.lit("Changed"), VERSION: newer})
+        return upsert_newer(rows.filter("k % 4 <> 0"), batch, keys, VERSION, match_nulls=True).select("stg_file_name", marker, VERSION)
+
+    return merged
+
+
+_layer_merge("bronze_match_merge", "H7 I9", bronze.bronze_matches, bronze.MATCH_KEYS, "season", "SELECT k, stg_file_name, season FROM matches")
+_layer_merge("bronze_player_merge", "H5 I9", bronze.bronze_players, bronze.PLAYER_KEYS, "source_system", "SELECT k, stg_file_name, 'CRICKET_JSON' AS source_system FROM players")
+_layer_merge("bronze_delivery_merge", "H6 I9", bronze.bronze_deliveries, bronze.BALL_KEYS, "extra_type", "SELECT k, stg_file_name, extra_type FROM deliveries")
+_layer_merge(
+    "silver_match_merge", "H8 I9", lambda raw: silver.silver_matches(bronze.bronze_matches(raw)), bronze.MATCH_KEYS, "season", "SELECT k, stg_file_name, season FROM matches"
+)
+_layer_merge(
+    "silver_delivery_merge", "H8 I9", lambda raw: silver.silver_deliveries(bronze.bronze_deliveries(raw)), bronze.BALL_KEYS, "data_quality_status",
+    "SELECT k, stg_file_name, CASE WHEN bowler IS NULL THEN 'INVALID' ELSE 'VALID' END AS data_quality_status FROM deliveries",
+)
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 
