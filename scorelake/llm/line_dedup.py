@@ -59,7 +59,7 @@ def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
     nodes = nodes.where((F.col("n") > 1) & (F.col("total") >= MIN_DOCUMENTS)).select("node")
     shared = variants.join(nodes, "node", "left_semi")
     packed = [f"p{i}" for i in range(SEGMENTS // 2)]
-    segments = lines.select("variant", *packed).join(shared.select("variant"), "variant", "left_semi").groupBy("variant").agg(*[F.min(p).alias(p) for p in packed])
+    segments = lines.groupBy("variant").agg(*[F.min(p).alias(p) for p in packed])  # before the join: a frequent line is one row per task
     shared = stored(shared.join(segments, "variant"), "lines-shared")
     thirds = [packed[:2], packed[2:3], packed[3:]]
     leaves = F.array(*[F.xxhash64(F.lit(i), "node", *third) for i, third in enumerate(thirds)])
