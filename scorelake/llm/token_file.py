@@ -30,8 +30,8 @@ from scorelake.llm.common import stored
 
 MAGIC = b"TIDS0001"
 BLOCK = 4096
-FILE_IDS = 12 << 20
-PARTITION_BYTES = 24 << 20
+FILE_IDS = 4 << 20
+PARTITION_BYTES = 10 << 20
 SLOTS = 2048  # of a context table, per block
 MIX_BITS = 12
 FREQUENCY_BITS = 22
