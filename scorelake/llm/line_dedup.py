@@ -7,11 +7,11 @@ the leaf of a third they share. In each leaf the variant seen in most documents
 variants whose segments (``SEGMENTS`` to a line) agree with the seed's over ``SIMILAR`` of all
 tokens or more become one template, in which what differs is variable.
 
-A template recurs if at least ``MIN_DOCUMENTS`` documents hold it, and at least half as many
-surroundings as documents: the smallest hash among the leading tokens of all lines before it, or after it. Copies of
-one document have the same surroundings, near-copies mostly so, hence copies alone make no
-template recur (they are the business of near-duplicate removal), while a passage of several
-lines is told from its documents' other lines.
+A template recurs if documents of at least ``MIN_DOCUMENTS`` different contents hold it. A
+document's content is the set of templates of all its other lines. Copies of one document
+have one content, and so have near-copies whose edited lines share a template; hence such
+copies make no template recur (they are the business of near-duplicate removal), however
+many there are, and a template's verdict does not depend on how many documents hold it.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def _identity(key: str, text: str) -> list[Column]:
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """row, row_check, pos, variant, lead, node, count and the hashed segments of every line with a token.
+    """row, row_check, pos, variant, node, count and the hashed segments of every line with a token.
 
     A line is known by 64-bit hashes from here on. ``SEGMENTS`` hashes stand for its tokens;
     they are packed two by two, so that plain aggregates can carry them.
@@ -50,7 +50,7 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     hashes = [F.hash(F.slice("tokens", edges[i] + 1, edges[i + 1] - edges[i])).cast("bigint") for i in range(SEGMENTS)]
     packed = [F.shiftleft(hashes[2 * i], 32).bitwiseOR(hashes[2 * i + 1].bitwiseAND(_LOW)).alias(f"p{i}") for i in range(SEGMENTS // 2)]
     lead = F.xxhash64(F.slice("tokens", 1, LEADING))
-    return tokens.select("row", "row_check", "pos", F.xxhash64("masked").alias("variant"), lead.alias("lead"), F.xxhash64(count, lead).alias("node"), count.alias("count"), *packed)
+    return tokens.select("row", "row_check", "pos", F.xxhash64("masked").alias("variant"), F.xxhash64(count, lead).alias("node"), count.alias("count"), *packed)
 
 
 def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
@@ -88,22 +88,20 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     held_by = lines.where(F.col("count") >= MIN_TOKENS).groupBy("variant", "node", "count", "row", "row_check").agg(F.lit(1).alias("one"))
     variants = stored(held_by.groupBy("variant", "node", "count").agg(F.count("*").alias("docs")), "lines-variants")
     named = variants.join(_merged(lines, variants), "variant", "left").select("variant", "docs", F.coalesce("template", "variant").alias("template"))
-    frequent = named.groupBy("template").agg(F.sum("docs").alias("n")).where(F.col("n") >= MIN_DOCUMENTS).select("template")
-    templates = named.join(frequent, "template").select("variant", "template")
-    once = lines.select("row", "row_check", "pos", "variant", "lead").repartition("row", "row_check").groupBy("row", "row_check", "pos").agg(F.min("variant").alias("variant"), F.min("lead").alias("lead"))
-    earlier = Window.partitionBy("row", "row_check").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("row", "row_check").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
-    around = once.withColumn("before", F.min("lead").over(earlier)).withColumn("after", F.min("lead").over(later))
-    held = stored(
-        around.join(templates, "variant").select("row", "row_check", "pos", "template", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after")),
-        "lines-held",
-    )
-    distinct = lambda *of: held.select("template", *of).distinct().groupBy("template").agg(F.count("*").alias("n"))
-    named_counts = [distinct("row", "row_check").withColumnRenamed("n", "docs"), distinct("before").withColumnRenamed("n", "befores"), distinct("after").withColumnRenamed("n", "afters")]
-    counted = named_counts[0].join(named_counts[1], "template").join(named_counts[2], "template")
-    own = F.greatest("befores", "afters")
+    named = stored(named, "lines-named")
+    frequent = named.groupBy("template").agg(F.sum("docs").alias("n")).where(F.col("n") >= MIN_DOCUMENTS).select("template", F.lit(True).alias("frequent"))
+    templates = named.join(frequent, "template", "left").where((F.col("template") != F.col("variant")) | F.col("frequent")).select("variant", "template", "frequent")
+    placed = lines.select("row", "row_check", "pos", "variant").join(templates, "variant", "left").withColumn("template", F.coalesce("template", "variant"))
+    # repeated rows give the same lines; a template counts once in a document
+    once = placed.repartition("row", "row_check").groupBy("row", "row_check", "template", "pos").agg(F.max("frequent").alias("frequent"))
+    first = F.row_number().over(Window.partitionBy("row", "row_check", "template").orderBy("pos")) == 1
+    own = F.xxhash64("template")
+    content = F.bit_xor(F.when(F.col("first"), own)).over(Window.partitionBy("row", "row_check"))
+    rest = once.withColumn("first", first).withColumn("rest", content.bitwiseXOR(own))
+    held = stored(rest.where("frequent").select("row", "row_check", "pos", "template", "rest"), "lines-held")
+    contents = held.select("template", "rest").distinct().groupBy("template").agg(F.count("*").alias("n"))
     # written first: both sides of the join are then dealt by it, and Spark can split a frequent template
-    recurring = stored(counted.where((own >= MIN_DOCUMENTS) & (2 * own >= F.col("docs"))).select("template"), "lines-recurring")
+    recurring = stored(contents.where(F.col("n") >= MIN_DOCUMENTS).select("template"), "lines-recurring")
     return held.join(recurring, "template", "left_semi").select("row", "row_check", "pos", "template")
 
 

@@ -35,6 +35,13 @@ def test_copies_of_a_document_keep_their_lines(spark):
     assert {r.text for r in cleaned(spark, alone).collect()} == {prose(1, 12)}
 
 
+def test_a_line_of_few_contents_goes_however_many_copies_hold_it(spark):
+    line = prose(77, 9)
+    texts = [(i, "\n".join([prose(100 + i, 12), line, prose(200 + i, 12)])) for i in range(6)]
+    texts += [(1000 + i, texts[0][1]) for i in range(60)]
+    assert all(len(r.text.split("\n")) == 2 for r in cleaned(spark, texts).collect())
+
+
 def test_awkward_rows(spark):
     docs = table(spark, awkward())
     got = line_dedup.drop_recurring_lines(docs)
