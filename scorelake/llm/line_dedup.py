@@ -1,11 +1,12 @@
 """Line dedup with a tree of line templates, in DataFrame operations only.
 
 A line's fields that hold a digit are masked at once. The tree has fixed depth: token count,
-then the first ``LEADING`` masked tokens; nodes that hold several variants part into leaves by
-thirds of the line, so that two lines that differ in a few neighbouring fields still meet in
-the leaf of a third they share. In each leaf the variant seen in most documents is the seed;
-variants whose segments (``SEGMENTS`` to a line) agree with the seed's over ``SIMILAR`` of all
-tokens or more become one template, in which what differs is variable.
+then the first ``LEADING`` masked tokens. A line has ``SEGMENTS`` segments; two variants of a
+node are similar if they agree in segments of ``SIMILAR`` of all tokens or more. For every
+set of segments that similar lines may differ in, the others make a leaf, so variants meet
+in a leaf if and only if they are similar. A variant that is seen in most documents of all
+its leaves is a seed, and what meets it takes its template, in which what differs is
+variable. This is repeated over the variants that no seed took until no leaf holds two.
 
 A template recurs if documents of at least ``MIN_DOCUMENTS`` different contents hold it. A
 document's content is the set of templates of all its other lines. Copies of one document
@@ -16,6 +17,8 @@ many there are, and a template's verdict does not depend on how many documents h
 
 from __future__ import annotations
 
+from itertools import combinations, pairwise
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,33 +56,60 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     return tokens.select("row", "row_check", "pos", F.xxhash64("masked").alias("variant"), F.xxhash64(count, lead).alias("node"), count.alias("count"), *packed)
 
 
+def _rests() -> list[tuple[int, list[tuple[int, ...]]]]:
+    """For every class of token counts (the count itself, from 40 on 40 + count % 10) the sets of segments that similar lines may differ in.
+
+    Only the largest sets, and only of segments that reach beyond the leading tokens. From
+    20 tokens on which sets fit depends on the last digit of the count alone.
+    """
+    found = []
+    for count in range(LEADING + 1, 50):
+        edges = [count * i // SEGMENTS for i in range(SEGMENTS + 1)]
+        size = [b - a for a, b in pairwise(edges)]
+        free = [i for i in range(SEGMENTS) if size[i] and edges[i + 1] > LEADING]
+        fits = [set(c) for n in (1, 2, 3) for c in combinations(free, n) if count - sum(size[i] for i in c) >= SIMILAR * count]
+        found.append((count, [tuple(sorted(c)) for c in fits if not any(c < d for d in fits)]))
+    return found
+
+
 def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
     """variant, template: the variants that take the template of a seed."""
+    spark = lines.sparkSession
     nodes = variants.groupBy("node").agg(F.count("*").alias("n"), F.sum("docs").alias("total"))
     nodes = nodes.where((F.col("n") > 1) & (F.col("total") >= MIN_DOCUMENTS)).select("node")
     shared = variants.join(nodes, "node", "left_semi")
     packed = [f"p{i}" for i in range(SEGMENTS // 2)]
     segments = lines.groupBy("variant").agg(*[F.min(p).alias(p) for p in packed])  # before the join: a frequent line is one row per task
-    shared = stored(shared.join(segments, "variant"), "lines-shared")
-    thirds = [packed[:2], packed[2:3], packed[3:]]
-    leaves = F.array(*[F.xxhash64(F.lit(i), "node", *third) for i, third in enumerate(thirds)])
-    placed = shared.select("variant", "docs", F.explode(leaves).alias("leaf"))
-    seeds = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("docs").alias("total"), F.max(F.struct("docs", "variant")).alias("seed"))
-    seeds = seeds.where((F.col("n") > 1) & (F.col("total") >= MIN_DOCUMENTS)).select("leaf", "seed")
-    pairs = placed.join(seeds, "leaf").where(F.col("variant") != F.col("seed.variant")).select("variant", "seed").distinct()
-    theirs = shared.select(F.col("variant").alias("of"), F.col("count").alias("of_count"), *[F.col(p).alias(f"of_{p}") for p in packed])
-    both = pairs.join(shared, "variant").join(theirs, F.col("seed.variant") == F.col("of"))
-    equal = F.lit(0)
-    for i in range(SEGMENTS):
-        size = F.floor(F.col("count") * (i + 1) / SEGMENTS) - F.floor(F.col("count") * i / SEGMENTS)
-        mine, its = F.col(packed[i // 2]), F.col(f"of_{packed[i // 2]}")
-        same = mine.bitwiseAND(_LOW) == its.bitwiseAND(_LOW) if i % 2 else F.shiftright(mine, 32) == F.shiftright(its, 32)
-        equal = equal + F.when(same, size).otherwise(0)
-    similar = both.where((F.col("count") == F.col("of_count")) & (equal >= SIMILAR * F.col("count")))
-    first = similar.groupBy("variant").agg(F.max("seed").alias("seed")).select("variant", F.col("seed.variant").alias("template"))
-    # a seed may itself have joined a more frequent one
-    onward = first.select(F.col("variant").alias("at"), F.col("template").alias("onward"))
-    return first.join(onward, F.col("template") == F.col("at"), "left").select("variant", F.coalesce("onward", "template").alias("template"))
+    shared = shared.join(segments, "variant")
+    rests = spark.createDataFrame([(count, [[*c, *[SEGMENTS] * (3 - len(c))] for c in sets]) for count, sets in _rests() if sets], "class int, sets array<array<int>>")
+    hashes = [F.shiftright(p, 32) if half == 0 else F.shiftright(F.shiftleft(p, 32), 32) for p in packed for half in (0, 1)]
+    parts = F.array(*[F.xxhash64(F.lit(i), h) for i, h in enumerate(hashes)], F.lit(0).cast("bigint"))  # the last for no segment
+    whole = F.col("parts")[0]
+    for i in range(1, SEGMENTS):
+        whole = whole.bitwiseXOR(F.col("parts")[i])
+    classes = F.when(F.col("count") < 40, F.col("count")).otherwise(40 + F.col("count") % 10)
+    spread = shared.select("variant", "docs", "node", classes.cast("int").alias("class"), parts.alias("parts")).join(F.broadcast(rests), "class")
+    spread = spread.withColumn("whole", whole).select("variant", "docs", "node", "parts", "whole", F.explode("sets").alias("set"))
+    cut = F.col("whole")
+    for i in range(3):
+        cut = cut.bitwiseXOR(F.col("parts")[F.col("set")[i]])
+    leaf = F.xxhash64("node", cut, *[F.col("set")[i] for i in range(3)])
+    left = stored(spread.select(leaf.alias("leaf"), "variant", "docs"), "lines-leaves")
+    taken = None
+    while True:
+        tops = left.groupBy("leaf").agg(F.max(F.struct("docs", "variant")).alias("top"), F.count("*").alias("n")).where(F.col("n") > 1).select("leaf", "top")
+        met = stored(left.join(tops, "leaf"), "lines-met")
+        if met.isEmpty():
+            break
+        # a seed is the most frequent variant in all of its leaves
+        seeds = met.groupBy("variant").agg(F.min(F.col("top.variant") == F.col("variant")).alias("seed")).where("seed").select("variant")
+        founded = met.join(seeds.withColumnRenamed("variant", "founder"), F.col("top.variant") == F.col("founder"))
+        new = stored(founded.groupBy("variant").agg(F.max("top").alias("top")).select("variant", F.col("top.variant").alias("template")), "lines-taken")
+        taken = new if taken is None else taken.unionByName(new)
+        left = met.join(new, "variant", "left_anti").select("leaf", "variant", "docs")
+    if taken is None:
+        return spark.createDataFrame([], "variant bigint, template bigint")
+    return taken.where(F.col("variant") != F.col("template"))
 
 
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

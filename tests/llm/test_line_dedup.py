@@ -42,6 +42,12 @@ def test_a_line_of_few_contents_goes_however_many_copies_hold_it(spark):
     assert all(len(r.text.split("\n")) == 2 for r in cleaned(spark, texts).collect())
 
 
+def test_variants_unlike_the_most_frequent_one_found_templates_of_their_own(spark):
+    ends = ["main blog"] * 9 + [f"category {prose(300 + i, 1)}" for i in range(6)] + [f"{prose(400 + i, 1)} archive" for i in range(6)]
+    texts = [(i, "\n".join([prose(100 + i, 12), f"Posted in the {end}", prose(200 + i, 12)])) for i, end in enumerate(ends)]
+    assert all(len(r.text.split("\n")) == 2 for r in cleaned(spark, texts).collect())
+
+
 def test_awkward_rows(spark):
     docs = table(spark, awkward())
     got = line_dedup.drop_recurring_lines(docs)
