@@ -1,6 +1,7 @@
 """Line dedup with a tree of line templates, in DataFrame operations only.
 
-A line's fields that hold a digit are masked at once. The tree has fixed depth: token count,
+Tokens are what white space of any kind parts, and the characters of a long line without any.
+Fields that hold a digit are masked at once in lines of ``MIN_TOKENS`` tokens or more. The tree has fixed depth: token count,
 then the first ``LEADING`` masked tokens. A line has ``SEGMENTS`` segments; two variants of a
 node are similar if they agree in segments of ``SIMILAR`` of all tokens or more. For every
 set of segments that similar lines may differ in, the others make a leaf, so variants meet
@@ -27,10 +28,13 @@ from scorelake.llm.common import fresh_name, stored
 LEADING = 3
 SIMILAR = 0.8
 MIN_DOCUMENTS = 5
-MIN_TOKENS = 3
+MIN_TOKENS = 3  # shorter lines are neither masked nor merged
+LEAST_TOKENS = 2  # lines of one word stay
 SEGMENTS = 10
+UNBROKEN = 12  # a line without a blank has its characters as tokens from this length on
 _LOW = (1 << 32) - 1
-_FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+_SPACE = r"\s\u0085\p{Z}"
+_FIELD = rf"(?<![^{_SPACE}])[^{_SPACE}0-9]*+[0-9][^{_SPACE}]*+"
 
 
 def _identity(key: str, text: str) -> list[Column]:
@@ -45,15 +49,20 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     A line is known by 64-bit hashes from here on. ``SEGMENTS`` hashes stand for its tokens;
     they are packed two by two, so that plain aggregates can carry them.
     """
-    exploded = docs.where(F.col(text).isNotNull()).select(*_identity(key, text), F.posexplode(F.split(text, "\n")).alias("pos", "line")).where(F.col("line").rlike(r"\S"))
-    masked = F.trim(F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", _FIELD, "<*>")).otherwise(F.col("line")))
-    tokens = exploded.select("row", "row_check", "pos", masked.alias("masked")).withColumn("tokens", F.split("masked", " "))
+    exploded = docs.where(F.col(text).isNotNull()).select(*_identity(key, text), F.posexplode(F.split(text, "\n")).alias("pos", "line")).where(F.col("line").rlike(f"[^{_SPACE}]"))
+    bare = exploded.select("row", "row_check", "pos", F.regexp_replace("line", f"^[{_SPACE}]++|(?<![{_SPACE}])[{_SPACE}]++$", "").alias("line")).withColumn("words", F.split("line", f"[{_SPACE}]+"))
+    unbroken = (F.size("words") == 1) & (F.length("line") >= UNBROKEN)
+    digits = F.col("line").rlike("[0-9]")
+    characters = F.split(F.when(digits, F.regexp_replace("line", "[0-9]+", "0")).otherwise(F.col("line")), "")
+    masked = F.split(F.regexp_replace("line", _FIELD, "<*>"), f"[{_SPACE}]+")
+    chosen = F.when(unbroken, characters).when((F.size("words") >= MIN_TOKENS) & digits, masked).otherwise(F.col("words"))
+    tokens = bare.select("row", "row_check", "pos", chosen.alias("tokens"))
     count = F.size("tokens")
     edges = [F.floor(count * i / SEGMENTS).cast("int") for i in range(SEGMENTS + 1)]
     hashes = [F.hash(F.slice("tokens", edges[i] + 1, edges[i + 1] - edges[i])).cast("bigint") for i in range(SEGMENTS)]
     packed = [F.shiftleft(hashes[2 * i], 32).bitwiseOR(hashes[2 * i + 1].bitwiseAND(_LOW)).alias(f"p{i}") for i in range(SEGMENTS // 2)]
     lead = F.xxhash64(F.slice("tokens", 1, LEADING))
-    return tokens.select("row", "row_check", "pos", F.xxhash64("masked").alias("variant"), F.xxhash64(count, lead).alias("node"), count.alias("count"), *packed)
+    return tokens.select("row", "row_check", "pos", F.xxhash64("tokens").alias("variant"), F.xxhash64(count, lead).alias("node"), count.alias("count"), *packed)
 
 
 def _rests() -> list[tuple[int, list[tuple[int, ...]]]]:
@@ -115,7 +124,7 @@ def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """row, row_check, pos, template for every line of a recurring template (the first two: see ``_identity``)."""
     lines = stored(_lines(docs, key, text), "lines")
-    held_by = lines.where(F.col("count") >= MIN_TOKENS).groupBy("variant", "node", "count", "row", "row_check").agg(F.lit(1).alias("one"))
+    held_by = lines.where(F.col("count") >= LEAST_TOKENS).groupBy("variant", "node", "count", "row", "row_check").agg(F.lit(1).alias("one"))
     variants = stored(held_by.groupBy("variant", "node", "count").agg(F.count("*").alias("docs")), "lines-variants")
     named = variants.join(_merged(lines, variants), "variant", "left").select("variant", "docs", F.coalesce("template", "variant").alias("template"))
     named = stored(named, "lines-named")
@@ -138,8 +147,8 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", dropped: str | None = None) -> DataFrame:
     """The rows of ``docs`` with recurring lines taken out of the text.
 
-    Lines end at ``\\n``; blank lines and lines under ``MIN_TOKENS`` tokens always stay, as
-    does the order of the rest. A null text stays null, an empty one empty; a text of nothing
+    Lines end at ``\\n``; blank lines and lines of one word under ``UNBROKEN`` characters always
+    stay, as does the order of the rest. A null text stays null, an empty one empty; a text of nothing
     but recurring lines becomes empty. ``dropped`` names a column for the number of lines
     taken out (0 if none). Repeated rows fare alike, null keys are no special case, and an
     empty table gives no rows. A column ``n_chars`` follows the new text where it has changed.

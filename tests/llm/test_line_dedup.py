@@ -48,6 +48,14 @@ def test_variants_unlike_the_most_frequent_one_found_templates_of_their_own(spar
     assert all(len(r.text.split("\n")) == 2 for r in cleaned(spark, texts).collect())
 
 
+def test_short_lines_and_lines_without_blanks_recur(spark):
+    recurring = ["Und äbe.", "版权所有未经许可不得转载本网站的任何内容谢谢合作", "Home\tNews\tSport\tContact\tImprint"]
+    texts = [(i, "\n".join([prose(100 + i, 12), *recurring, f"{i} rows", "The.", prose(200 + i, 12)])) for i in range(6)]
+    texts += [(50 + i, "\n".join([prose(300 + i, 12), "本网站的内容由第三方提供请联系管理员删除谢谢" + "甲乙丙丁戊己"[i], prose(400 + i, 12)])) for i in range(6)]
+    got = {r.doc_id: r.text.split("\n") for r in cleaned(spark, texts).collect()}
+    assert all(got[i][1:-1] == [f"{i} rows", "The."] for i in range(6)) and all(len(got[50 + i]) == 2 for i in range(6))
+
+
 def test_awkward_rows(spark):
     docs = table(spark, awkward())
     got = line_dedup.drop_recurring_lines(docs)
