@@ -14,10 +14,10 @@ from __future__ import annotations
 import heapq
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import stored
+from scorelake.llm.common import fresh_name, stored
 
 CRUMBS_PER_SHARD = 256
 WHOLE_UP_TO = 1 / 8
@@ -65,19 +65,13 @@ def differencing(sizes: list[int], shards: int) -> list[int]:
     return places
 
 
-def assign_shards(docs: DataFrame, shards: int = 16, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per input row: key, size, text_crc32, shard and slot.
-
-    size is the UTF-8 length of the text plus 1; a null text counts as empty for size and
-    checksum but is a group apart from the empty text. Keys may be null or repeated: every
-    row gets a slot. Slots run from 0 without gaps within each shard, in input order. An
-    empty table gives no rows; other columns of the input are ignored.
-    """
+def _assigned(docs: DataFrame, shards: int, text: str, carried: Column) -> DataFrame:
+    """One row per input row: carried (any column of it), size, text_crc32, shard and slot."""
     spark = docs.sparkSession
     content = F.coalesce(F.col(text), F.lit(""))
     base = stored(
         docs.select(
-            F.col(key).alias("doc_id"),
+            carried.alias("carried"),
             (F.octet_length(content) + 1).cast("long").alias("size"),
             F.crc32(content.cast("binary")).alias("text_crc32"),
             F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("null")).alias("gid"),
@@ -98,13 +92,30 @@ def assign_shards(docs: DataFrame, shards: int = 16, text: str = "text", key: st
     units = sorted((u, s) for u, s in rows.groupBy("unit").agg(F.sum("size")).collect())  # crumbs, large groups and pieces
     places = differencing([s for _, s in units], shards)
     where = spark.createDataFrame([(u, p) for (u, _), p in zip(units, places, strict=True)], "unit string, shard int")
-    placed = rows.join(F.broadcast(where), "unit").select("doc_id", "size", "text_crc32", "part", "uid", "shard")
+    placed = rows.join(F.broadcast(where), "unit").select("carried", "size", "text_crc32", "part", "uid", "shard")
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("shard", "part").count().select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     local = F.row_number().over(Window.partitionBy("shard", "part").orderBy("uid")) - 1
-    return placed.withColumn("local", local).join(offsets, ["shard", "part"]).select("doc_id", "size", "text_crc32", "shard", (F.col("offset") + F.col("local")).alias("slot"))
+    return placed.withColumn("local", local).join(offsets, ["shard", "part"]).select("carried", "size", "text_crc32", "shard", (F.col("offset") + F.col("local")).alias("slot"))
+
+
+def assign_shards(docs: DataFrame, shards: int = 16, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per input row: key, size, text_crc32, shard and slot.
+
+    size is the UTF-8 length of the text plus 1; a null text counts as empty for size and
+    checksum but is a group apart from the empty text. Keys may be null or repeated: every
+    row gets a slot. Slots run from 0 without gaps within each shard, in input order. An
+    empty table gives no rows; other columns of the input are ignored.
+    """
+    return _assigned(docs, shards, text, F.col(key)).withColumnRenamed("carried", "doc_id")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 16) -> None:
-    """Write the rows with a key to one folder per shard (rows whose key is null or repeated need a key first)."""
-    docs.join(assign_shards(docs, shards).select("doc_id", "shard", "slot"), "doc_id").repartition("shard", F.floor(F.col("slot") / 100_000)).write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int = 16, text: str = "text") -> None:
+    """Write every row to one folder per shard, with its shard and slot.
+
+    The rows themselves are carried through the assignment, so null and repeated keys lose
+    and add none. The folders' column is ``shard``, or ``_shard`` where the table has one; so for ``slot``.
+    """
+    shard, slot = fresh_name(docs, "shard"), fresh_name(docs, "slot")
+    placed = _assigned(docs, shards, text, F.struct("*")).select("carried.*", F.col("shard").alias(shard), F.col("slot").alias(slot))
+    placed.repartition(shard, F.floor(F.col(slot) / 100_000)).write.partitionBy(shard).parquet(path)

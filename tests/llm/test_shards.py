@@ -37,3 +37,11 @@ def test_differencing_places_every_unit():
 
 def test_empty_table(spark):
     assert shards.assign_shards(table(spark, awkward()).where(F.lit(False)), 16).count() == 0
+
+
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    docs = table(spark, [*awkward(), *[(4, prose(50 + i, 9)) for i in range(20)]])
+    shards.write_shards(docs, str(tmp_path / "out"), 4)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, got.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    assert got.select("_shard", "slot").distinct().count() == docs.count()
