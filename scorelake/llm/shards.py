@@ -3,9 +3,10 @@
 The indivisible units are groups of equal texts. Spark adds up the bytes of every group;
 the groups above 1/256 of a shard (fewer than 256 per shard, whatever the table holds) stay
 units of their own, all others are dealt by the hash of their text into 256 crumbs per
-shard, each a unit that keeps its groups whole. A group above 1/8 of a shard cannot be
-balanced whole (a third of all rows may be one text), so it is cut into pieces of about
-1/64 of a shard. Differencing then runs over these units, whose number depends on the
+shard, each a unit that keeps its groups whole. A group of up to 3/4 of a shard stays whole; a
+larger one is cut into pieces of about 1/4 of a shard, few but small enough that the
+shards can be balanced around them.
+Differencing then runs over these units, whose number depends on the
 shard count alone; rows are never gathered.
 """
 
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from scorelake.llm.common import fresh_name, stored
 
 CRUMBS_PER_SHARD = 256
-WHOLE_UP_TO = 1 / 8
-PIECE = 1 / 64
+WHOLE_UP_TO = 3 / 4
+PIECE = 1 / 4
 
 
 def differencing(sizes: list[int], shards: int) -> list[int]:

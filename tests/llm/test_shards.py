@@ -45,3 +45,13 @@ def test_written_shards_hold_every_row_once(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(str, got.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
     assert got.select("_shard", "slot").distinct().count() == docs.count()
+
+
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    texts = [(i, prose(i, 5 + i % 70)) for i in range(900)] + [(5000 + i, "warm " * 20) for i in range(600)]  # about 2/3 of a shard
+    got = shards.assign_shards(table(spark, texts), 4).collect()
+    sums = {}
+    for r in got:
+        sums[r.shard] = sums.get(r.shard, 0) + r.size
+    assert len({r.shard for r in got if r.doc_id >= 5000}) == 1
+    assert len(sums) == 4 and max(sums.values()) - min(sums.values()) <= 200
