@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
@@ -58,3 +60,12 @@ def fresh_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish = f"_{wish}"
     return wish
+
+
+def release() -> None:
+    """Give the memory that a finished task no longer needs back to the machine; Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own account
+        pass

@@ -20,17 +20,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_proto
 
+from scorelake.llm.common import fresh_name, release
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_REMEMBERED = 400_000  # words per Python worker
+_REMEMBERED_BYTES = 32 << 20  # of words and their ids, per Python worker
+_WORD_COST = 160  # bytes of memory that a remembered word takes beside its characters and ids
 _AT_ONCE = 2_000_000
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+_MARKS = ",.;:!?\"')]}"
 _FILTER_BITS = 22
-_PAIRS = (1 << 21) - 9
+_PAIRS = (1 << 20) - 3
 _NEVER = -np.inf
 
 
@@ -67,8 +73,12 @@ class Codec:
         self.longest = max((len(x) for x, *_ in usable), default=1)
         self.single = np.zeros(0x110000, bool)
         self.single[[ord(x) for x, *_ in usable if len(x) == 1]] = True
-        # line ends part words too where no piece holds one
-        self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if any("\n" in x for x, *_ in usable) else f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+        # line ends part words too where no piece holds one, and so do marks after a letter
+        inner = MARK if any("\n" in x for x, *_ in usable) else f"{MARK}\n"
+        joined = {b for x, *_ in usable for a, b in zip(x, x[1:]) if b in _MARKS and re.match(f"[{_LETTER}]", a)}
+        marks = "".join(re.escape(m) for m in _MARKS if m not in joined)
+        letters = f"{MARK}*[{_LETTER}]+(?=[{marks}])|" if marks else ""
+        self.word = re.compile(f"{letters}{MARK}*[^{inner}]+|{MARK}+|\n")
         hashes = np.array([self._hash(x) for x, *_ in usable], dtype=np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.piece = hashes[order], np.array([i for _, i, _ in usable], dtype=np.int64)[order]
@@ -89,6 +99,7 @@ class Codec:
             row[: len(code)] = code
         self.pair_key, self.pair_fits = np.full(_PAIRS, -1, np.int64), np.zeros(_PAIRS, bool)
         self.words: dict[str, bytes] = {}
+        self.spent = 0
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -190,8 +201,6 @@ class Codec:
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of every text, none for null and empty ones; the new words of some ``_AT_ONCE`` characters advance together."""
         for some in _runs(texts):
-            if len(self.words) > _REMEMBERED:
-                self.words.clear()
             split = [self.split(t or "") for t in some]
             new: dict[int, set[str]] = {}
             for w in {w for words in split for w in words if w not in self.words}:
@@ -200,6 +209,7 @@ class Codec:
                 self._learn(sorted(same))
             for words in split:
                 yield np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32)
+            self._forget(new)
 
     def _learn(self, same: list[str]) -> None:
         for cut in range(0, len(same), 8192):
@@ -207,6 +217,16 @@ class Codec:
             for word, ids in zip(some, self._segment(some), strict=True):
                 self.words[word] = np.array(ids, dtype=np.int32).tobytes()
 
+    def _forget(self, new: dict[int, set[str]]) -> None:
+        """Keep words learnt in a run, short ones first, as far as the memory for them goes; drop the others."""
+        for length in sorted(new):
+            for word in new[length]:
+                cost = _WORD_COST + length + len(self.words[word])
+                if self.spent + cost <= _REMEMBERED_BYTES:
+                    self.spent += cost
+                else:
+                    del self.words[word]
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids; byte pieces join to characters, control pieces vanish."""
         length = self.out_length[ids]
@@ -254,14 +274,19 @@ def encode_documents(docs: DataFrame, model: bytes, *keep: str, text: str = "tex
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(model)
         for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
             at = 0
-            for some in _runs(batch.column(batch.num_columns - 1).to_pylist()):
-                ids = list(known.encode(some))
+            while at < len(texts):
+                before = int(ends[at - 1]) if at else 0
+                last = max(at + 1, int(np.searchsorted(ends, before + _AT_ONCE, "right")))
+                ids = list(known.encode(texts.slice(at, last - at).to_pylist()))
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
                 decoded = pa.array(map(known.decode, ids), pa.string())
-                kept = [c.slice(at, len(some)) for c in batch.columns[:-1]]
-                at += len(some)
+                kept = [c.slice(at, last - at) for c in batch.columns[:-1]]
+                at = last
                 yield pa.RecordBatch.from_arrays([*kept, lists, decoded], names=schema.fieldNames())
+        release()
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(convert, schema)
+    return docs.select(*keep, F.col(text).alias(fresh_name(docs, "__text"))).mapInArrow(convert, schema)
