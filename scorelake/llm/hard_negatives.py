@@ -337,11 +337,15 @@ def mine(vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: i
     order = [F.col("d"), F.col("label"), F.col("square").desc(), F.col("vec_id")]
     files = max(1, -(-cells // (8 * RANGE_CELLS)))
     sorted_rows = rows.repartitionByRange(files, *order, F.rand(7)).sortWithinPartitions(*order).withColumn("uid", F.monotonically_increasing_id())
-    place = F.shiftleft(F.shiftright("uid", 33), 33) + F.floor(F.col("uid").bitwiseAND(F.lit(_ROW)) / each)
-    ranged = stored(sorted_rows.select("uid", "vec_id", "label", "x", F.coalesce("asked", F.lit(False)).alias("asked"), place.alias("range")), "negatives-ranges")
+    numbered_rows = stored(sorted_rows.select("uid", "vec_id", "label", "x", F.coalesce("asked", F.lit(False)).alias("asked"), F.shiftright("uid", 33).alias("part")), "negatives-ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered_rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))  # one row per written partition
+    place = F.floor((F.col("offset") + F.col("uid").bitwiseAND(F.lit(_ROW))) / each)
+    ranged = numbered_rows.join(F.broadcast(offsets), "part").withColumn("range", place).drop("part", "offset")
     candidates, anchors = ranged.drop("asked"), ranged.where("asked").drop("asked")
     bounds = stored(_bounds(candidates), "negatives-bounds")
-    parts = max(1, min(bounds.select("range").distinct().count(), 8 * default_partitions(spark)))
+    ranges = max(1, bounds.agg(F.max("range") + 1).first()[0] or 0)  # numbered without gaps
+    parts = min(ranges, 8 * default_partitions(spark))
     none, no_windows = F.lit(None).cast("long"), F.lit(None).cast("array<struct<low:bigint,high:bigint,reached:bigint>>")
 
     def positives_of(index: Index, anchor: dict) -> Iterator[tuple]:
@@ -367,9 +371,7 @@ def mine(vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: i
     windows = best.withColumn("window", window).where("window.low <= window.high").groupBy("uid").agg(F.sort_array(F.collect_list("window")).alias("listed"))  # at most ``positives`` an anchor
     facing = stored(anchors.drop("range").join(windows, "uid"), "negatives-facing")
     plain = F.transform("listed", lambda w: F.struct(w["low"].alias("low"), w["high"].alias("high"), w["reached"].alias("reached")))
-    numbered = bounds.select("range").distinct().withColumn("number", F.row_number().over(Window.orderBy("range")) - 1)  # one row per range
-    count = numbered.count()
-    start = facing.withColumn("number", F.pmod(F.xxhash64("uid"), F.lit(max(1, count))).cast("int")).join(numbered, "number").drop("number")
+    start = facing.withColumn("range", F.pmod(F.xxhash64("uid"), F.lit(ranges)))
     seeded = stored(_met(candidates, start.withColumns({"floor": none, "windows": plain}), negatives_of, parts), "negatives-seeds")
     reached = seeded.groupBy("uid", "window").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= negatives)
     known = reached.groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct("window", "least"))).alias("known"))

@@ -81,7 +81,7 @@ def test_repeated_rows_few_matches_and_huge_entries(spark):
     assert run(spark, rows) == sorted(2 * [(0, 0, 1, 5, 65536, 32768), (0, 0, 2, 6, 65536, 32768)])
     got = run(spark, [(0, [3e38], 1), (1, [3e38], 1), (2, [1.0], 2), (3, [-3e38], 2)])
     assert got == []
-    rows = [(0, [4e7], 1), (1, [3e7], 1), (2, [2e7], 2), (3, [1.0], 2)]
+    rows = [(0, [4e6], 1), (1, [3e6], 1), (2, [2e6], 2), (3, [1.0], 2)]
     assert run(spark, rows) == brute_force(rows)
 
 
