@@ -24,7 +24,7 @@ import math
 from collections import deque
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,6 +33,7 @@ from scorelake.llm.common import stored
 WORD = r"[^\x20\x09-\x0D]+"
 OPEN_SHARE = 1e-4
 BUCKET_ROWS = 5000
+BROADCAST_ROWS = 20_000
 _PASSES = 64
 _LAST = (1 << 63) - 1
 
@@ -121,6 +122,12 @@ def _augment(group: list[int], patterns: list, of_source: dict, need: dict[int,
             need[end[1]] -= amount
 
 
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of driver rows, marked for broadcast while it is small; beyond that Spark chooses the join."""
+    made = spark.createDataFrame(rows, schema)
+    return F.broadcast(made) if len(rows) <= BROADCAST_ROWS else made
+
+
 def words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -149,7 +156,7 @@ class _Selection:
 
     def _waiting(self, open_: list[str]) -> DataFrame:
         """Rows not chosen yet of the open patterns, with what is left to fill."""
-        wanted = self.session.createDataFrame([(p, self.left[p], self.taken[p]) for p in open_], f"pattern string, open long, taken {_CONDITION}")
+        wanted = _small(self.session, [(p, self.left[p], self.taken[p]) for p in open_], f"pattern string, open long, taken {_CONDITION}")
         return self.rows.join(wanted, "pattern").where(~_chosen(F.col("taken")) & (F.col("size") > 0)).drop("taken")
 
     def fill(self) -> None:
@@ -179,7 +186,7 @@ class _Selection:
                 self.left[p] -= everything
         inside = [(p, c.bucket, c.before) for p, (_, c) in cuts.items() if c is not None]
         if inside:
-            some = fitting.join(self.session.createDataFrame(inside, "pattern string, bucket long, before long"), ["pattern", "bucket"])
+            some = fitting.join(_small(self.session, inside, "pattern string, bucket long, before long"), ["pattern", "bucket"])
             units = some.groupBy("pattern", "h").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"), F.max("open").alias("open"), F.max("before").alias("before"))
             upto = F.col("before") + F.sum(F.col("size") * F.col("n")).over(Window.partitionBy("pattern").orderBy("h"))
             first = units.withColumn("upto", upto).where("upto > open").groupBy("pattern").agg(F.min(F.struct("h", "size", "n", (F.col("upto") - F.col("size") * F.col("n")).alias("before"))).alias("u"))
@@ -200,7 +207,7 @@ class _Selection:
         """The id of the n-th of the rows with a pattern and hash, counted by partition first."""
         if not partly:
             return {}
-        wanted = self.session.createDataFrame(partly, "pattern string, h long, copies long")
+        wanted = _small(self.session, partly, "pattern string, h long, copies long")
         alike = rows.join(wanted, ["pattern", "h"]).withColumn("part", F.shiftright("uid", 33))
         counts = alike.groupBy("pattern", "part").agg(F.count(F.lit(1)).alias("n"), F.max("copies").alias("copies"))
         upto = F.sum("n").over(Window.partitionBy("pattern").orderBy("part"))
@@ -241,7 +248,7 @@ def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text
         whole[pattern], rest[pattern] = divmod(sum(flow.values()), n) if n else (0, 0)
     selection = _Selection(rows, rest)
     selection.fill()
-    plan = spark.createDataFrame([(p, whole[p], selection.taken[p]) for p, _ in found], f"pattern string, whole int, conditions {_CONDITION}")
+    plan = _small(spark, [(p, whole[p], selection.taken[p]) for p, _ in found], f"pattern string, whole int, conditions {_CONDITION}")
     taken = F.col("size") * (F.col("whole") + _chosen(F.col("conditions")).cast("int"))
     result = rows.join(plan, "pattern").select("doc_id", "size", F.from_json("pattern", "array<string>").alias("sources"), taken.cast("long").alias("taken"))
     routed = [0] * len(names)
@@ -249,7 +256,7 @@ def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text
         for s, n in flow.items():
             routed[s] += n
     quotas = [(s, sizes[i], float(wanted[i]), routed[i]) for i, s in enumerate(names)]
-    return result, spark.createDataFrame(quotas, "source string, source_size long, target double, routed long")
+    return result, _small(spark, quotas, "source string, source_size long, target double, routed long")
 
 
 def mix_sources(docs: DataFrame, source: str = "source", **settings: object) -> DataFrame:
