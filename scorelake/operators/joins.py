@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -70,5 +70,50 @@ def follow(tables: dict[str, DataFrame], start: str, *route: str, relationships=
     return joined
 
 
+def path_between(start: str, goal: str, relationships: list[Relationship] | None = None) -> list[tuple[Relationship, bool]]:
+    """The links from ``start`` to ``goal``, each with whether it is followed from its referencing side.
+
+    A filter passes from the referenced table to the referencing one and back; the shortest way
+    counts. Two ways of the same length would filter differently, so they are an error.
+    """
+    known = relationships or STAR_RELATIONSHIPS
+    ways: list[tuple[str, list[tuple[Relationship, bool]]]] = [(start, [])]
+    seen = {start}
+    while ways:
+        arrived = [way for table, way in ways if table == goal]
+        if len(arrived) > 1:
+            raise ValueError(f"{start} and {goal} are joined by several ways of {len(arrived[0])} links")
+        if arrived:
+            return arrived[0]
+        further = []
+        for table, way in ways:
+            further += [(r.to_table, [*way, (r, True)]) for r in known if r.from_table == table and r.to_table not in seen]
+            further += [(r.from_table, [*way, (r, False)]) for r in known if r.to_table == table and r.from_table not in seen]
+        seen |= {table for table, _ in further}
+        ways = further
+    raise ValueError(f"{start} and {goal} are not joined")
+
+
+def cross_filtered(tables: dict[str, DataFrame], slicers: dict[str, Column], target: str, relationships: list[Relationship] | None = None) -> DataFrame:
+    """The rows of ``target`` that the slicers leave together.
+
+    Each slicer passes from its own table along the links as semi-joins of key columns, and
+    leaves the tables on its way filtered for the next.
+    """
+    left = dict(tables)
+    ways = {table: path_between(table, target, relationships) for table in slicers}
+    for table, condition in slicers.items():
+        left[table] = left[table].filter(condition)
+    for table in [*ways, *ways] if len(ways) > 1 else ways:  # twice: the first round filters the tables that the ways share
+        kept = left[table]
+        for link, forward in ways[table]:
+            near, far, name = (link.from_column, link.to_column, link.to_table) if forward else (link.to_column, link.from_column, link.from_table)
+            here, there = F.col("_here"), F.col(far)
+            if link.date_part_only:
+                here, there = here.cast("date"), there.cast("date")
+            kept = left[name] = left[name].join(kept.select(F.col(near).alias("_here")).distinct(), there == here, "left_semi")
+    return left[target]
+
+
 def _prefixed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{table}__{c}") for c in df.columns))

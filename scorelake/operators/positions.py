@@ -61,6 +61,18 @@ def number_in_groups(
     return local.join(offsets, "_k").withColumn(as_, (F.col("_local") + F.col("_before")).cast("long")).drop("_k", "_local", "_before")
 
 
+def range_buckets(df: DataFrame, keys: list[str], order: list[str], as_: str = "bucket", parts: int | None = None) -> DataFrame:
+    """The rows with a bucket that follows ascending ``order`` within each key, for the functions of this module.
+
+    Spark samples keys and order together and cuts the rows into ranges of like size, so a hot
+    key, month or hour is cut like any other, and buckets need no knowledge of the data. ``order``
+    should be total. The rows are written out once, which fixes their ranges.
+    """
+    along = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    cut = df.repartitionByRange(parts, *along) if parts else df.repartitionByRange(*along)
+    return pinned(cut.withColumn(as_, F.spark_partition_id()))
+
+
 def lag_in_groups(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column, as_: str) -> DataFrame:
     """``LAG(value)`` per ``keys`` in ascending ``order``, which should be total; ``bucket`` must never decrease along it."""
     bucketed = _with_bucket(df, keys, bucket)

@@ -91,17 +91,22 @@ def upsert_newer(
     return updated.unionByName(added)
 
 
-def changed_rows(target: DataFrame, source: DataFrame, keys: list[str], version: str, match_nulls: bool = False) -> DataFrame:
-    """Source rows a newer-wins merge would insert or update, marked in ``_action``."""
+def changed_rows(target: DataFrame, source: DataFrame, keys: list[str], version: str, match_nulls: bool = False, images: bool = False) -> DataFrame:
+    """Source rows a newer-wins merge would insert or update, marked in ``_action``.
+
+    With ``images`` the struct ``_before`` holds the stored row that an update replaces.
+    """
     batch = newest_per_key(source, keys, version, match_nulls)
     usable = (lambda df: df) if match_nulls else (lambda df: df.filter(_keyed(keys)))
-    stored = _with_key(usable(target), keys).groupBy(_KEY).agg(F.min(version).alias("_stored"), F.lit(True).alias("_known"))
+    row = F.struct(*(c for c in batch.columns if c in target.columns))
+    before = [F.min_by(row, version).alias("_before")] if images else []
+    stored = _with_key(usable(target), keys).groupBy(_KEY).agg(F.min(version).alias("_stored"), F.lit(True).alias("_known"), *before)
     joined = _with_key(usable(batch), keys).join(stored, _KEY, "left")
     action = F.when(F.col("_known").isNull(), "INSERT").when(F.col(version) > F.col("_stored"), "UPDATE")
-    marked = joined.withColumn("_action", action).filter(F.col("_action").isNotNull()).select(*batch.columns, "_action")
+    marked = joined.withColumn("_action", action).filter(F.col("_action").isNotNull()).select(*batch.columns, "_action", *(["_before"] if images else []))
     if match_nulls:
         return marked
-    return marked.unionByName(batch.filter(~_keyed(keys)).withColumn("_action", F.lit("INSERT")))
+    return marked.unionByName(batch.filter(~_keyed(keys)).withColumn("_action", F.lit("INSERT")), allowMissingColumns=True)
 
 
 def append_versions(target: DataFrame, source: DataFrame, keys: list[str], version: str) -> DataFrame:

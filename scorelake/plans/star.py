@@ -165,11 +165,13 @@ def match_fact(
     """One row per match with keys of every dimension and measures of both teams, and the ``lineage`` columns of the match.
 
     Deliveries are added up per match and team first, so the joins see a few rows per match.
-    Matches that miss a dimension member (no winner, no city) drop out, unless
+    Documents are told apart by ``lineage`` where it is given, else by match number, so two
+    documents of one number keep their own totals. Matches that miss a dimension member (no winner, no city) drop out, unless
     ``unknown_member`` keeps them with NULL keys.
     """
     how = "left" if unknown_member else "inner"
-    per_team = deliveries.groupBy("match_type_number", F.col("team_name").alias("_team")).agg(
+    document = list(lineage) or ["match_type_number"]
+    per_team = deliveries.groupBy(*document, F.col("team_name").alias("_team")).agg(
         F.max("over").alias("_overs"),
         F.count(F.lit(1)).alias("_balls"),
         F.sum("extras").alias("_extras"),
@@ -183,7 +185,7 @@ def match_fact(
         star = lookup(star, teams, {column: "team_name"}, {"team_id": role}, how)
     star = lookup(star, dims["match_type_dim"], {"match_type": "match_type"}, {"match_type_id": "match_type_id"}, how)
     star = lookup(star, dims["venue_dim"], {"venue": "venue_name", "city": "city"}, {"venue_id": "venue_id"}, how)
-    star = star.join(per_team, "match_type_number", how)
+    star = star.join(per_team, document, how)
 
     measures = []
     for side, column in _SIDES.items():

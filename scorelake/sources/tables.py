@@ -50,6 +50,13 @@ class Lake:
             .parquet(self.path(name))
         )
 
+    def drop_partitions(self, name: str, partition: str, values: list) -> None:
+        """Remove whole partitions; a rewrite leaves those alone that have no row any more."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for value in values:
+            folder = jvm.org.apache.hadoop.fs.Path(self.path(name), f"{partition}={value}")
+            folder.getFileSystem(conf).delete(folder, True)
+
 
 def typed_empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)

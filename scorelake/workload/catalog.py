@@ -10,4 +10,5 @@ from scorelake.workload import (  # noqa: F401
     relational_queries,
     scalar_queries,
     series_queries,
+    upkeep_queries,
 )

@@ -33,38 +33,43 @@ _SUMS = """
     coalesce({x}.extras, 0)::INTEGER AS extra_bowls_played_by_team_{s}, coalesce({x}.extra_runs, 0)::INTEGER AS extra_runs_scored_by_team_{s},
     0 AS fours_by_team_{s}, 0 AS sixes_by_team_{s},
     (coalesce({x}.runs, 0) + coalesce({x}.extra_runs, 0))::INTEGER AS total_score_by_team_{s}, coalesce({x}.lost, 0)::INTEGER AS wicket_lost_by_team_{s}"""
-# Ids are looked up in maps, and deliveries added up per match and team; a match or ball with an unknown id drops out.
+# Inner joins: a match or ball without a member of some dimension drops out, and a name that several teams' players bear counts for each.
 FACT_SQL = f"""
 wide AS (
   SELECT k, match_type_number, team_name, CAST(over + 1 AS INTEGER) AS over, bowler, batter, non_striker, runs, extras, e.e AS extra_type,
     CASE e.e WHEN 'wides' THEN 1 WHEN 'legbyes' THEN 2 END AS extra_runs, player_out, player_out_kind
   FROM balls, UNNEST(extra_list) AS e(e)
 ),
-ids AS (
-  SELECT (SELECT map(list(team_name), list(team_id)) FROM teams) AS team, (SELECT map(list(full_dt), list(date_id)) FROM days) AS day,
-    (SELECT map(list(match_type), list(match_type_id)) FROM kinds) AS kind, (SELECT map(list({{'v': venue_name, 'c': city}}), list(venue_id)) FROM venues) AS place,
-    (SELECT map(list(player_name), list(player_id)) FROM people WHERE trim(player_name) <> '') AS player,
-    (SELECT map(list({{'t': team_id, 'p': player_name}}), list(player_id)) FROM people) AS member
-),
 team_sums AS (
   SELECT match_type_number, team_name, MAX(over) AS overs, COUNT(*) AS balls, SUM(extras) AS extras, SUM(extra_runs) AS extra_runs, SUM(runs) AS runs, COUNT(player_out) AS lost
   FROM wide GROUP BY ALL
 ),
 match_fact AS (
-  SELECT m.match_type_number AS match_id, day[event_date] AS date_id, 0 AS referee_id, team[first_team] AS team_a_id, team[second_team] AS team_b_id,
-    kind[match_type] AS match_type_id, place[{{'v': venue, 'c': city}}] AS venue_id, 50 AS total_overs, 6 AS balls_per_over, {_SUMS.format(x='a', s='a')}, {_SUMS.format(x='b', s='b')},
-    team[toss_winner] AS toss_winner_team_id, toss_decision, match_result, team[winner] AS winner_team_id
-  FROM ids, (FROM detail SEMI JOIN team_sums USING (match_type_number)) m
+  SELECT m.match_type_number AS match_id, d.date_id, 0 AS referee_id, ta.team_id AS team_a_id, tb.team_id AS team_b_id,
+    y.match_type_id, v.venue_id, 50 AS total_overs, 6 AS balls_per_over, {_SUMS.format(x='a', s='a')}, {_SUMS.format(x='b', s='b')},
+    tt.team_id AS toss_winner_team_id, toss_decision, match_result, tw.team_id AS winner_team_id
+  FROM (FROM detail SEMI JOIN team_sums USING (match_type_number)) m
+  JOIN days d ON d.full_dt = m.event_date
+  JOIN teams ta ON ta.team_name = m.first_team
+  JOIN teams tb ON tb.team_name = m.second_team
+  JOIN teams tt ON tt.team_name = m.toss_winner
+  JOIN teams tw ON tw.team_name = m.winner
+  JOIN kinds y ON y.match_type = m.match_type
+  JOIN venues v ON v.venue_name = m.venue AND v.city = m.city
   LEFT JOIN team_sums a ON a.match_type_number = m.match_type_number AND a.team_name = m.first_team
   LEFT JOIN team_sums b ON b.match_type_number = m.match_type_number AND b.team_name = m.second_team
-  WHERE date_id + team_a_id + team_b_id + match_type_id + venue_id + toss_winner_team_id + winner_team_id IS NOT NULL
 )"""
 _BALL_DETAILS = """over, runs, coalesce(extra_runs, 0)::INTEGER AS extra_runs,
     coalesce(extra_type, 'None') AS extra_type, coalesce(player_out, 'None') AS player_out, coalesce(player_out_kind, 'None') AS player_out_kind"""
 DELIVERY_FACT_SQL = f"""
 delivery_fact AS (
-  SELECT match_type_number AS match_id, team[team_name] AS team_id, player[bowler] AS bowler_id, player[batter] AS batter_id, player[non_striker] AS non_striker_id, {_BALL_DETAILS}
-  FROM wide, ids WHERE team_id + bowler_id + batter_id + non_striker_id IS NOT NULL
+  SELECT match_type_number AS match_id, t.team_id, b.player_id AS bowler_id, s.player_id AS batter_id, n.player_id AS non_striker_id, {_BALL_DETAILS}
+  FROM wide
+  JOIN teams t USING (team_name)
+  JOIN people b ON b.player_name = bowler
+  JOIN people s ON s.player_name = batter
+  JOIN people n ON n.player_name = non_striker
+  WHERE match_type_number IS NOT NULL
 )"""
 BRIDGE_SQL = "bridged AS (SELECT * FROM (SELECT DISTINCT match_id, team_id FROM delivery_fact) JOIN teams USING (team_id) JOIN match_fact USING (match_id))"
 
@@ -226,12 +231,14 @@ def delivery_fact(t):
 @query(
     "delivery_fact_team_aware", "J9 D3",
     with_star(f"""
-    SELECT match_type_number AS match_id, team[team_name] AS team_id, member[{{'t': other, 'p': bowler}}] AS bowler_id,
-      member[{{'t': team_id, 'p': batter}}] AS batter_id, member[{{'t': team_id, 'p': non_striker}}] AS non_striker_id, {_BALL_DETAILS}
-    FROM ids, (
-      SELECT w.*, (SELECT team FROM ids)[CASE w.team_name WHEN m.first_team THEN m.second_team ELSE m.first_team END] AS other
-      FROM wide w JOIN detail m USING (match_type_number))
-    WHERE other + team_id + bowler_id + batter_id + non_striker_id IS NOT NULL
+    SELECT match_type_number AS match_id, t.team_id, b.player_id AS bowler_id, s.player_id AS batter_id, n.player_id AS non_striker_id, {_BALL_DETAILS}
+    FROM wide w
+    JOIN (SELECT match_type_number, first_team, second_team FROM detail) m USING (match_type_number)
+    JOIN teams t USING (team_name)
+    JOIN teams o ON o.team_name = CASE w.team_name WHEN m.first_team THEN m.second_team ELSE m.first_team END
+    JOIN people b ON b.player_name = bowler AND b.team_id = o.team_id
+    JOIN people s ON s.player_name = batter AND s.team_id = t.team_id
+    JOIN people n ON n.player_name = non_striker AND n.team_id = t.team_id
     """),
 )
 def delivery_fact_team_aware(t):
