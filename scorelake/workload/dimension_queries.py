@@ -69,7 +69,6 @@ delivery_fact AS (
   JOIN people b ON b.player_name = bowler
   JOIN people s ON s.player_name = batter
   JOIN people n ON n.player_name = non_striker
-  WHERE match_type_number IS NOT NULL
 )"""
 BRIDGE_SQL = "bridged AS (SELECT * FROM (SELECT DISTINCT match_id, team_id FROM delivery_fact) JOIN teams USING (team_id) JOIN match_fact USING (match_id))"
 
