@@ -3,9 +3,9 @@
 The indivisible units are groups of equal texts. Spark adds up the bytes of every group;
 the groups above 1/256 of a shard (fewer than 256 per shard, whatever the table holds) stay
 units of their own, all others are dealt by the hash of their text into 256 crumbs per
-shard, each a unit that keeps its groups whole. A group of up to 3/4 of a shard stays whole; a
-larger one is cut into pieces of about 1/4 of a shard, few but small enough that the
-shards can be balanced around them.
+shard, each a unit that keeps its groups whole. A group of up to a shard's share stays whole; a
+larger one fits no shard and is cut into pieces of about 1/4 of a shard, few but small enough
+that the shards can be balanced around them.
 Differencing then runs over these units, whose number depends on the
 shard count alone; rows are never gathered.
 """
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from scorelake.llm.common import fresh_name, stored
 
 CRUMBS_PER_SHARD = 256
-WHOLE_UP_TO = 3 / 4
 PIECE = 1 / 4
 
 
@@ -84,7 +83,7 @@ def _assigned(docs: DataFrame, shards: int, text: str, carried: Column) -> DataF
     total = base.agg(F.sum("size")).first()[0] or 0
     share = max(total / shards, 1)
     large = base.groupBy("gid").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > share / CRUMBS_PER_SHARD).collect()  # < 256 a shard
-    pieces = [(g, math.ceil(b / (share * PIECE)) if b > share * WHOLE_UP_TO else 1) for g, b in large]
+    pieces = [(g, math.ceil(b / (share * PIECE)) if b > share else 1) for g, b in large]
     known = spark.createDataFrame(pieces, "gid string, pieces int")
     unit = F.when(F.col("pieces").isNull(), F.concat(F.lit("crumb:"), F.pmod(F.xxhash64("gid"), F.lit(shards * CRUMBS_PER_SHARD)))).otherwise(
         F.concat("gid", F.lit(":"), F.pmod(F.xxhash64("uid"), F.col("pieces")))

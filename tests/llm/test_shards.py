@@ -8,7 +8,7 @@ from tests.llm.docs import awkward, prose, table
 
 
 def test_balance_groups_and_slots(spark):
-    texts = awkward()[:8] + [(100 + i, prose(i, 5 + i % 70)) for i in range(900)] + [(3000 + i, prose(1, 20)) for i in range(3)] + [(5000 + i, "hot " * 40) for i in range(600)]
+    texts = awkward()[:8] + [(100 + i, prose(i, 5 + i % 70)) for i in range(900)] + [(3000 + i, prose(1, 20)) for i in range(3)] + [(5000 + i, "hot " * 60) for i in range(600)]
     got = shards.assign_shards(table(spark, texts), 4).collect()
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in got) == sorted((str(k), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for k, t in texts)
     sums, slots = {}, {}
@@ -48,7 +48,7 @@ def test_written_shards_hold_every_row_once(spark, tmp_path):
 
 
 def test_groups_that_fit_a_shard_stay_whole(spark):
-    texts = [(i, prose(i, 5 + i % 70)) for i in range(900)] + [(5000 + i, "warm " * 20) for i in range(600)]  # about 2/3 of a shard
+    texts = [(i, prose(i, 5 + i % 70)) for i in range(900)] + [(5000 + i, "warm " * 28) for i in range(600)]  # about 0.9 of a shard
     got = shards.assign_shards(table(spark, texts), 4).collect()
     sums = {}
     for r in got:
