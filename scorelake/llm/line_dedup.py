@@ -29,7 +29,6 @@ LEADING = 3
 SIMILAR = 0.8
 MIN_DOCUMENTS = 5
 MIN_TOKENS = 3  # shorter lines are neither masked nor merged
-LEAST_TOKENS = 2  # lines of one word stay
 SEGMENTS = 10
 UNBROKEN = 12  # a line without a blank has its characters as tokens from this length on
 _LOW = (1 << 32) - 1
@@ -124,7 +123,7 @@ def _merged(lines: DataFrame, variants: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """row, row_check, pos, template for every line of a recurring template (the first two: see ``_identity``)."""
     lines = stored(_lines(docs, key, text), "lines")
-    held_by = lines.where(F.col("count") >= LEAST_TOKENS).groupBy("variant", "node", "count", "row", "row_check").agg(F.lit(1).alias("one"))
+    held_by = lines.groupBy("variant", "node", "count", "row", "row_check").agg(F.lit(1).alias("one"))
     variants = stored(held_by.groupBy("variant", "node", "count").agg(F.count("*").alias("docs")), "lines-variants")
     named = variants.join(_merged(lines, variants), "variant", "left").select("variant", "docs", F.coalesce("template", "variant").alias("template"))
     named = stored(named, "lines-named")
@@ -147,7 +146,7 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", dropped: str | None = None) -> DataFrame:
     """The rows of ``docs`` with recurring lines taken out of the text.
 
-    Lines end at ``\\n``; blank lines and lines of one word under ``UNBROKEN`` characters always
+    Lines end at ``\\n``; blank lines always
     stay, as does the order of the rest. A null text stays null, an empty one empty; a text of nothing
     but recurring lines becomes empty. ``dropped`` names a column for the number of lines
     taken out (0 if none). Repeated rows fare alike, null keys are no special case, and an
