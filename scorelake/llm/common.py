@@ -50,6 +50,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """The same table; whole texts go to Python a thousand rows at a time, where the session still has Spark's ten thousand."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
 def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

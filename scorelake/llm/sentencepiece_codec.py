@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_proto
 
-from scorelake.llm.common import fresh_name, release
+from scorelake.llm.common import fresh_name, release, text_batches
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -289,4 +289,4 @@ def encode_documents(docs: DataFrame, model: bytes, *keep: str, text: str = "tex
                 yield pa.RecordBatch.from_arrays([*kept, lists, decoded], names=schema.fieldNames())
         release()
 
-    return docs.select(*keep, F.col(text).alias(fresh_name(docs, "__text"))).mapInArrow(convert, schema)
+    return text_batches(docs).select(*keep, F.col(text).alias(fresh_name(docs, "__text"))).mapInArrow(convert, schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import default_partitions, fresh_name, stored
+from scorelake.llm.common import default_partitions, fresh_name, release, stored, text_batches
 from scorelake.llm.graph import components
 
 WORDS = 4
@@ -58,13 +58,15 @@ def fingerprint(text: bytes | None, words: int = WORDS) -> int:
 
 def fingerprints(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """The kept columns and fp, the fingerprint as a signed long."""
-    plain = docs.select(*keep, F.col(text).cast("binary").alias("__text"))
+    content = fresh_name(docs, "__text")
+    plain = text_batches(docs).select(*keep, F.col(text).cast("binary").alias(content))
     schema = docs.select(*keep, F.lit(0).cast("long").alias("fp")).schema
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = np.fromiter((fingerprint(t) for t in batch.pop("__text")), np.uint64, len(batch))
+            made = np.fromiter((fingerprint(t) for t in batch.pop(content)), np.uint64, len(batch))
             yield batch.assign(fp=made.view(np.int64))
+        release()
 
     return plain.mapInPandas(of, schema)
 

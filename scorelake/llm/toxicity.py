@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Labelled examples are a bounded sample (``PER_CLASS`` of either label, those whose hashed id is
-smallest). Terms are kept where the sample shows them to go with the label; document
-frequencies are counted over the whole corpus. The examples form an inverted index whose
+smallest). Terms are kept where the sample shows them to go with the label, all that reach
+``MIN_CHI2``, however many; document frequencies are counted over the whole corpus. The examples form an inverted index whose
 postings lie in blocks of ``BLOCK`` examples with the largest weight of each term in each
 block. A document visits blocks by falling bound (the sum over its terms) until no block can
 hold a nearer example than the k-th found, so the k nearest are exact. They vote by cosine;
@@ -20,10 +20,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import fresh_name, stored
+from scorelake.llm.common import fresh_name, release, stored, text_batches
 
 PER_CLASS = 2000
-TERMS = 1024
 MIN_CHI2 = 30.0
 NEIGHBOURS = 15
 BLOCK = 64
@@ -149,15 +148,17 @@ class Index:
 def _counted(docs: DataFrame, terms: list[str], *keep: str, text: str = "text") -> DataFrame:
     """The kept columns with the ids and counts of the known terms in each whole text."""
     place = {t.encode("latin-1"): i for i, t in enumerate(terms)}
+    words_in = fresh_name(docs, "__text")
     bases = {t.rpartition(b"@")[0] or t for t in place}
     schema = docs.select(*keep, F.array(F.lit(0)).alias("terms"), F.array(F.lit(0)).alias("counts")).schema
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [sorted(features(t, place, bases).items()) for t in batch.pop("__text")]
+            found = [sorted(features(t, place, bases).items()) for t in batch.pop(words_in)]
             yield batch.assign(terms=[[t for t, _ in f] for f in found], counts=[[n for _, n in f] for f in found])
+        release()
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInPandas(count, schema)
+    return text_batches(docs).select(*keep, F.col(text).alias(words_in)).mapInPandas(count, schema)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[DataFrame, dict[int, int]]:
@@ -191,7 +192,7 @@ def _chosen_terms(sample: DataFrame, positive: int, negative: int) -> list[str]:
         F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg")
     )
     strong = counted.where((a + b < n) & (a / float(positive) > b / float(negative))).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-    return [r.term for r in strong.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
+    return [r.term for r in strong.orderBy(F.desc("chi2"), "term").collect()]
 
 
 def score(docs: DataFrame, labels: DataFrame, *keep: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,6 +240,7 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str, key: str = "doc_id", t
                     seen[at] = (known.calibrated(known.vote(near, cosine)), known.ids[near].tolist(), known.toxic[near].astype(int).tolist(), cosine.tolist())
                 found.append(seen[at])
             yield batch.assign(**{c: [f[i] for f in found] for i, c in enumerate(("score", "near_ids", "near_toxic", "near_cosine"))})
+        release()
 
     judged = counted.mapInPandas(judge, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", " + extra)
     return judged.withColumns({"held_out": held_out(key), "predicted": (F.col("score") >= REJECT_FROM).cast("int")})
