@@ -13,7 +13,7 @@ from tests.llm.docs import awkward, prose, table
 PATH = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
-@pytest.mark.parametrize("n", [0, 1, 4095, 4096, 4097, 20_000])
+@pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 4096, 20_000])
 def test_round_trip_of_ids(n):
     rng = np.random.default_rng(n)
     ids = np.where(rng.random(n) < 0.5, rng.integers(0, 5, n), rng.integers(0, 2**32, n)).astype(np.uint32)
@@ -60,6 +60,28 @@ def test_files_of_documents(spark, monkeypatch):
     assert keys == sorted(keys, key=lambda k: -1 if k is None else k)
 
 
+def test_words_of_all_kinds_equal_the_library():
+    import pyarrow as pa
+
+    texts = ["Hello, WORLD! it's don't I'LL", "ÀÉÎ straße ĮŻ İstanbul ΟΔΟΣ", "x<|endoftext|>y <|startoftext|>", "3.14 1,000 a1b2 ... ?!--", "", None, "  two  spaces\n\nlines ", "café e\u0301 ½ ² º µ", "tab\there\u00a0nbsp\u3000wide", "日本語 🙂👍 ok", "word " * 50, "Aa" * 4000]
+    plain = Tokenizer.from_file(PATH)
+    words = token_file.Words(PATH)
+    for _ in range(2):  # learnt, then remembered
+        found = [(n, ids) for n, ids in words.encode(pa.array(texts))]
+        got = [ids[e - n : e].tolist() for sizes, ids in found for n, e in zip(sizes, sizes.cumsum())]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_the_memory_of_words_is_bounded(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_file, "_REMEMBERED_BYTES", 4000)
+    words = token_file.Words(PATH)
+    for i in range(5):
+        list(words.encode(pa.array([prose(i, 2000)])))
+    assert words.spent <= 4000 and len(words.known) <= 4000 // 190
+
+
 def test_empty_table(spark):
     folder = new_folder(spark, "ids")
     files = token_file.write_token_files(table(spark, awkward()).where(F.lit(False)), PATH, folder, 2)
