@@ -169,22 +169,31 @@ _MATCH_ATTRIBUTES = [
 
 
 def match_team_stats(matches: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Match attributes with both teams' totals; deliveries are added up per team before the join."""
+    """Match attributes with both teams' totals.
+
+    Deliveries are added up per team, and the few teams of a document put into one row, before the
+    join; a document has one row in ``matches``, so nothing is grouped by the attributes after it.
+    """
     m = matches.filter("is_latest").select(*_MATCH_ATTRIBUTES)
-    joined = m.join(team_totals(deliveries), DOCUMENT, "left")
-    first, second = F.col("team_name") == F.col("first_team"), F.col("team_name") == F.col("second_team")
-    side = lambda team, c: F.sum(F.when(team, F.col(c)).otherwise(0))
-    return joined.groupBy(*_MATCH_ATTRIBUTES).agg(
-        side(first, "runs").alias("first_team_runs"),
-        side(second, "runs").alias("second_team_runs"),
-        side(first, "wickets").alias("first_team_wickets"),
-        side(second, "wickets").alias("second_team_wickets"),
-        F.coalesce(F.sum("balls"), F.lit(0)).alias("total_deliveries"),
+    named = F.when(F.col("team_name").isNotNull(), F.struct("team_name", F.struct("runs", "wickets").alias("total")))
+    teams = team_totals(deliveries).groupBy(*DOCUMENT).agg(
+        F.map_from_entries(F.collect_list(named)).alias("_teams"),
+        F.sum("balls").alias("balls"),
         F.sum("all_runs").alias("total_runs_scored"),
         F.sum("fours").alias("total_boundaries_4"),
         F.sum("sixes").alias("total_boundaries_6"),
         F.sum("dots").alias("total_dot_balls"),
     )
+    side = lambda team, c: F.coalesce(F.try_element_at("_teams", F.col(team))[c], F.lit(0))
+    return m.join(teams, DOCUMENT, "left").select(
+        *_MATCH_ATTRIBUTES,
+        side("first_team", "runs").alias("first_team_runs"),
+        side("second_team", "runs").alias("second_team_runs"),
+        side("first_team", "wickets").alias("first_team_wickets"),
+        side("second_team", "wickets").alias("second_team_wickets"),
+        F.coalesce("balls", F.lit(0)).alias("total_deliveries"),
+        "total_runs_scored", "total_boundaries_4", "total_boundaries_6", "total_dot_balls",
+    )
 
 
 def best_players(deliveries: DataFrame) -> DataFrame:
