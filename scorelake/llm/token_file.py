@@ -16,6 +16,7 @@ and the number of tasks follows the cluster, not the table.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -278,6 +279,7 @@ class Words:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the threads
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
@@ -287,7 +289,7 @@ class Words:
         self.letters = "^[A-Za-zÀ-ÖØ-öø-į]+$"
         self.special = [a["content"] for a in told.get("added_tokens") or []]
         self.known: dict[str, bytes] = {}
-        self.spent = 0
+        self.spent, self.full = 0, False
         if self.parts:
             told["normalizer"], told["added_tokens"] = None, []
             told["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
@@ -338,36 +340,56 @@ class Words:
         parts = words if single else pa.array(self.parts.findall(_joined(words, " ").lower()), pa.string()).dictionary_encode()
         distinct = _joined(parts.dictionary, "\n").split("\n") if len(parts) else []
         found = list(map(self.known.get, distinct))
-        new = [part for part, ids in zip(distinct, found, strict=True) if ids is None and part != " "]
-        learnt = dict(zip(new, self._learn(new), strict=True))
-        found = [learnt.get(part, b"") if ids is None else ids for part, ids in zip(distinct, found, strict=True)]
-        for part, ids in learnt.items():
-            cost = _WORD_COST + len(part) + len(ids)
-            if self.spent + cost > _REMEMBERED_BYTES:
-                break
-            self.known[part] = ids
-            self.spent += cost
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) >> 2)
-        every = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(found), "<u4")))
+        missing = np.fromiter((ids is None for ids in found), bool, len(found))
+        space = distinct.index(" ") if " " in distinct else -1
+        if space >= 0:
+            missing[space] = False
+            found[space] = b""
+        old, new = np.flatnonzero(~missing), np.flatnonzero(missing)
+        learnt, cuts = self._learn([distinct[i] for i in new.tolist()])
+        self._remember(distinct, new, learnt, cuts)
+        known = [ids for ids in found if ids is not None]
+        ends = np.cumsum(np.fromiter(map(len, known), np.int64, len(known)) >> 2)
+        every = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], ends, cuts[1:] + (ends[-1] if len(ends) else 0)]).astype(np.int32)),
+            pa.array(np.concatenate([np.frombuffer(b"".join(known), "<u4"), learnt])),
+        )
+        places = np.empty(len(distinct), np.int64)
+        places[old], places[new] = np.arange(len(old)), np.arange(len(old), len(distinct))
         codes = parts.indices.to_numpy()
-        taken = every.take(parts.indices)
+        taken = every.take(pa.array(places[codes]))
         if single:
             return taken
-        breaks = np.flatnonzero(codes == distinct.index(" ")) if " " in distinct else np.zeros(0, np.int64)
+        breaks = np.flatnonzero(codes == space)
         cuts = taken.offsets.to_numpy()[np.concatenate([[0], breaks, [len(codes)]])]
         return pa.ListArray.from_arrays(pa.array(cuts), taken.values)
 
-    def _learn(self, parts: list[str]) -> Iterator[bytes]:
-        """The ids of parts, many joined by spaces at a time; the mark of a part's last piece tells them apart."""
+    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the parts and where each part begins and ends; many are joined by spaces at a time, the mark of a part's last piece tells them apart."""
+        ids, counts = [np.zeros(0, "<u4")], []
         for cut in range(0, len(parts), _JOINED * 16):
             runs = [parts[a : a + _JOINED] for a in range(cut, min(cut + _JOINED * 16, len(parts)), _JOINED)]
             for run, encoding in zip(runs, self.model.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
-                ids = np.array(encoding.ids, dtype="<u4")
-                ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                found = np.array(encoding.ids, dtype="<u4")
+                ends = np.flatnonzero(self.ends[found]) + 1
                 if len(ends) != len(run):
                     raise ValueError("a part of a word has more than one end")
-                plain = ids.tobytes()
-                yield from map(plain.__getitem__, map(slice, [0, *ends[:-1]], ends))
+                ids.append(found)
+                counts.append(np.diff(ends, prepend=0))
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
+
+    def _remember(self, distinct: list[str], new: np.ndarray, learnt: np.ndarray, cuts: np.ndarray) -> None:
+        """Keep learnt parts, as far as the bound on bytes goes."""
+        if self.full:
+            return
+        plain = learnt.tobytes()
+        for at, start, end in zip(new.tolist(), (cuts[:-1] * 4).tolist(), (cuts[1:] * 4).tolist(), strict=True):
+            cost = _WORD_COST + len(distinct[at]) + end - start
+            self.full = self.spent + cost > _REMEMBERED_BYTES
+            if self.full:
+                break
+            self.spent += cost
+            self.known[distinct[at]] = plain[start:end]
 
 
 def _joined(texts: pa.StringArray, by: str) -> str:
