@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorelake.sources.layout import bloom_options, curve_layout
+
 
 class Lake:
     """Parquet tables below ``root``: ``read``, ``append``, ``replace`` and partition-wise rewrite."""
@@ -41,6 +43,14 @@ class Lake:
         writer = laid_out.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
 
+    def replace_curved(self, name: str, df: DataFrame, columns: list[str], files: int, lookups: list[str] | None = None) -> None:
+        """Full refresh laid out so that a filter on any of ``columns`` prunes files, and one value of a ``lookups`` column row groups.
+
+        ``df`` is read three times (count, sample, write), so it should be a stored table.
+        """
+        options = bloom_options(lookups, df.count() // files) if lookups else {}
+        curve_layout(df, columns, files).write.mode("overwrite").options(**options).parquet(self.path(name))
+
     def rewrite_partitions(self, name: str, df: DataFrame, partition: str) -> None:
         """Overwrite only the partitions present in ``df``, which may be read from the same table."""
         (

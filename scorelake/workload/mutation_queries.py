@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scorelake.operators.quality import apply_null_gate
 from scorelake.operators.upsert import absent_facts, append_versions, changed_rows, insert_missing, upsert_newer
 from scorelake.plans import bronze, silver
+from scorelake.plans.monitor import stack
 from scorelake.plans.refresh import VERSION
 from scorelake.session import fresh_dir
 from scorelake.sources.tables import Lake, delete_where, empty_like, month_slice, split_archive, update_where
@@ -102,6 +103,28 @@ def clustered_table(t):
     return lake.read("orders").filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "curve_layout", "A16 A18 M13",
+    """
+    SELECT 'l_shipdate' AS filtered, COUNT(*) AS n, SUM(l_quantity)::DOUBLE AS quantity, TRUE AS few_files FROM lineitem WHERE l_shipdate < (SELECT MIN(l_shipdate) + INTERVAL 60 DAY FROM lineitem)
+    UNION ALL SELECT 'l_partkey', COUNT(*), SUM(l_quantity)::DOUBLE, TRUE FROM lineitem WHERE l_partkey <= 3
+    UNION ALL SELECT 'l_orderkey', COUNT(*), SUM(l_quantity)::DOUBLE, TRUE FROM lineitem WHERE l_orderkey = 7""",
+)
+def curve_layout(t):
+    """Lines laid out by ship date and part in 64 files, with a bloom filter on the order: each filter meets under a quarter of the files."""
+    lake = Lake(t.spark, fresh_dir(t.spark, "curve"))
+    lake.replace_curved("lines", t.lineitem, ["l_shipdate", "l_partkey"], 64, ["l_orderkey"])
+    lines = lake.read("lines")
+    first = lines.agg(F.min("l_shipdate") + F.expr("INTERVAL 60 DAY")).first()[0]
+    filters = {"l_shipdate": F.col("l_shipdate") < F.lit(first).cast(lines.schema["l_shipdate"].dataType), "l_partkey": F.col("l_partkey") <= 3, "l_orderkey": F.col("l_orderkey") == 7}
+    return stack([
+        lines.filter(f).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("double").alias("quantity"), (F.count_distinct(F.col("_metadata.file_path")) < 16).alias("few_files")
+        ).select(F.lit(name).alias("filtered"), "n", "quantity", "few_files")
+        for name, f in filters.items()
+    ])
+
+
 @query("refresh_and_append", "A9 A10 A11", "SELECT COUNT(*) AS n, SUM(CASE WHEN n_regionkey = 0 THEN 1 ELSE 0 END)::BIGINT AS first_region FROM (SELECT * FROM nation UNION ALL SELECT * FROM nation)")
 def refresh_and_append(t):
     """Typed empty table, full refresh, then an append."""
