@@ -79,6 +79,28 @@ def apply_null_gate(df: DataFrame, columns: list[str], threshold: float, score:
     return update_where(df, hit, changes)
 
 
+def null_profile(df: DataFrame, columns: list[str], by: str, score: float | None = SCORE_GATE_INVALID) -> DataFrame:
+    """Per storage bucket: rows, valid rows, rows with NULLs, and those of them a gate has not marked yet.
+
+    Profiles of different buckets add up, so a load has to look at the buckets it wrote only.
+    """
+    marked = F.col("data_quality_status") == INVALID
+    if score is not None:
+        marked = marked & F.col("data_quality_score").eqNullSafe(F.lit(score))
+    return df.groupBy(F.col(by).cast("string").alias(by)).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("data_quality_status") == VALID).alias("valid"),
+        F.count_if(null_in(columns)).alias("null_rows"), F.count_if(null_in(columns) & ~F.coalesce(marked, F.lit(False))).alias("unmarked"),
+    )
+
+
+def mark_nulls(df: DataFrame, columns: list[str], score: float | None = SCORE_GATE_INVALID) -> DataFrame:
+    """Mark all rows with NULLs in these columns as INVALID."""
+    changes = {"data_quality_status": F.lit(INVALID)}
+    if score is not None:
+        changes["data_quality_score"] = F.lit(score)
+    return update_where(df, null_in(columns), changes)
+
+
 def not_null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column, how many rows are NULL."""
     counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))

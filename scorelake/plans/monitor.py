@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,34 +28,43 @@ def stack(parts: list[DataFrame]) -> DataFrame:
     return result
 
 
-def log_row(spark, task: str, status: str, rows: int | None = None, affected: int | None = None, error: str | None = None, seconds: int = 0, as_of=None) -> DataFrame:
-    base = spark.createDataFrame([(task, status, rows, affected, error, seconds)], "task_name string, status string, rows_processed long, rows_affected long, error_message string, duration_seconds long")
+@dataclass
+class StepResult:
+    """What a stage tells about itself; ``affected`` is ``rows`` where it is not given."""
+
+    rows: int | None = None
+    affected: int | None = None
+    checked: int | None = None
+    score: float | None = None
+    lag_minutes: int | None = None
+    stream_lag_hours: float | None = None
+    status: str = "SUCCESS"
+
+
+def log_row(spark, task: str, result: StepResult, error: str | None = None, seconds: int = 0, as_of=None) -> DataFrame:
+    affected = result.rows if result.affected is None else result.affected
+    values = (task, result.status, result.rows, affected, result.lag_minutes, result.stream_lag_hours, result.score, result.checked, error, seconds)
+    typed = [part for part in RUN_LOG.split(", ") if not part.startswith("execution_ts")]
     names = [part.split()[0] for part in RUN_LOG.split(", ")]
-    return base.withColumns(
-        {
-            "execution_ts": as_of_literal(as_of),
-            "dynamic_table_lag_minutes": F.lit(None).cast("long"),
-            "stream_lag_hours": F.lit(None).cast("double"),
-            "data_quality_score": F.lit(None).cast("double"),
-            "records_checked": F.lit(None).cast("long"),
-        }
-    ).select(*names)
+    return spark.createDataFrame([values], ", ".join(typed)).withColumn("execution_ts", as_of_literal(as_of)).select(*names)
 
 
 def logged(lake, task: str, step, log: str = "run_log"):
     """Run one stage and log it; a failure is logged and raised again.
 
-    ``step`` returns the number of rows it handled, or None; a pair gives the status as well.
+    ``step`` returns a ``StepResult``, or the number of rows it handled, or None. What the stage
+    wrote is in ``lake.counts`` when it ends.
     """
     started = time.time()
+    lake.counts.reset()
     try:
-        rows = step()
+        found = step()
     except Exception as error:
-        lake.append(log, log_row(lake.spark, task, "FAILED", error=str(error), seconds=int(time.time() - started)))
+        lake.append(log, log_row(lake.spark, task, StepResult(status="FAILED"), str(error), int(time.time() - started)))
         raise
-    rows, status = rows if isinstance(rows, tuple) else (rows, "SUCCESS")
-    lake.append(log, log_row(lake.spark, task, status, rows=rows, affected=rows, seconds=int(time.time() - started)))
-    return rows
+    result = found if isinstance(found, StepResult) else StepResult(found)
+    lake.append(log, log_row(lake.spark, task, result, seconds=int(time.time() - started)))
+    return result.rows
 
 
 def recent_runs(log: DataFrame, n: int = 20, as_of=None) -> DataFrame:

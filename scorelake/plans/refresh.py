@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import functions as F
 
-from scorelake.fixed_values import CLUSTER_KEYS, INVALID
-from scorelake.operators.quality import null_in
+from scorelake.fixed_values import CLUSTER_KEYS, NULL_SHARE_BRONZE, NULL_SHARE_SILVER, SCORE_GATE_INVALID
+from scorelake.functions.dates import as_of_literal, minutes_between
+from scorelake.operators.quality import mark_nulls, null_profile
 from scorelake.operators.upsert import absent_facts, insert_missing
 from scorelake.plans import bronze, gold, marts, monitor, silver, star
 from scorelake.sources.tables import Lake
@@ -23,73 +22,116 @@ _SILVER = {"player": silver.silver_players, "delivery": silver.silver_deliveries
 VERSION = "stg_modified_ts"
 
 
-def _count(lake: Lake, *names: str) -> int:
-    """Rows of the tables that exist; parquet footers answer it."""
-    return sum(lake.read(name).count() for name in names if lake.exists(name))
+def _score(valid: int, rows: int) -> float | None:
+    return round(valid / rows, 4) if rows else None
+
 
+def _read_rows(query) -> int:
+    """Rows the micro-batches of a finished stream took in."""
+    return sum(p["numInputRows"] for p in query.recentProgress)
 
-def _added(lake: Lake, names: list[str], stage: Callable[[], object]) -> int:
-    """Run a stage and tell how many rows it added to these tables."""
-    before = _count(lake, *names)
-    stage()
-    return _count(lake, *names) - before
 
+def _lag_hours(lake: Lake, names: list[str], as_of) -> float | None:
+    """Hours from the newest version that is stored to now."""
+    tables = [lake.read(n).agg(F.max(VERSION).alias("newest")) for n in names if lake.exists(n)]
+    if not tables:
+        return None
+    newest = monitor.stack(tables).agg(F.max("newest").alias("newest"))
+    return newest.select((minutes_between(F.col("newest"), as_of_literal(as_of)) / 60.0).alias("h")).first()["h"]
 
-def load_raw(lake: Lake, source: str) -> int:
-    return _added(lake, ["raw", "rejects"], lambda: stream_files(lake, source, lake.path("_checkpoints/raw")))
 
+def load_raw(lake: Lake, source: str) -> monitor.StepResult:
+    """New files to raw rows and rejects; checked are the files, the score is the share of accepted documents."""
+    query = stream_files(lake, source, lake.path("_checkpoints/raw"))
+    accepted, rejected = lake.counts.total(["raw"]), lake.counts.total(["rejects"])
+    return monitor.StepResult(accepted + rejected, affected=accepted, checked=_read_rows(query), score=_score(accepted, accepted + rejected))
 
-def load_bronze(lake: Lake, as_of=None) -> int:
-    """New raw rows to the three bronze tables, in order, from one micro-batch each; returns the rows written."""
+
+def load_bronze(lake: Lake, as_of=None) -> monitor.StepResult:
+    """New raw rows to the three bronze tables, in order, from one micro-batch each; counts the rows inserted and updated."""
     handlers = [
         upsert_into(lake, f"bronze_{kind}", keys, VERSION, lambda raw, make=make: make(raw, as_of))
         for kind, (make, keys) in _BRONZE.items()
     ]
-    load = lambda: run_available(table_stream(lake, "raw"), fan_out(*handlers), lake.path("_checkpoints/bronze"))
-    return _added(lake, [change_log(f"bronze_{kind}") for kind in _BRONZE], load)
+    query = run_available(table_stream(lake, "raw"), fan_out(*handlers), lake.path("_checkpoints/bronze"))
+    return _changes(lake, "bronze", list(_BRONZE), _read_rows(query), as_of)
+
+
+def load_silver(lake: Lake, as_of=None) -> monitor.StepResult:
+    """Bronze changes to silver, each table with its own reader; counts the rows inserted and updated."""
+    read = 0
+    for kind, make in _SILVER.items():
+        name = f"bronze_{kind}"
+        if lake.exists(change_log(name)):
+            handler = upsert_into(lake, f"silver_{kind}", _BRONZE[kind][1], VERSION, lambda rows, make=make: make(rows, as_of))
+            read += _read_rows(run_available(change_stream(lake, name), fan_out(handler), lake.path(f"_checkpoints/silver_{kind}")))
+    return _changes(lake, "silver", list(_SILVER), read, as_of)
+
+
+def _changes(lake: Lake, layer: str, kinds: list[str], read: int, as_of) -> monitor.StepResult:
+    logs = [change_log(f"{layer}_{kind}") for kind in kinds]
+    rows = lake.counts.total(logs)
+    written = lake.counts.total(logs, "insert") + lake.counts.total(logs, "update")
+    score = _score(lake.counts.total(logs, "valid"), rows)
+    return monitor.StepResult(rows, affected=written, checked=read, score=score, stream_lag_hours=_lag_hours(lake, [f"{layer}_match"], as_of))
+
+
+PROFILE = "bucket string, files string, rows long, valid long, null_rows long, unmarked long"
+
+
+def gate_nulls(lake: Lake, name: str, columns: list[str], threshold: float, score: float | None) -> tuple[int, int, int, int]:
+    """Mark rows with NULLs where their share of the table is too high; rows looked at, rows marked, rows and valid rows of the table.
+
+    A profile per storage bucket is kept beside the table. Only buckets whose files changed since
+    are profiled again, and only buckets with rows to mark are written. A lost profile is made anew.
+    """
+    profile = f"{name}__profile"
+    files = lake.partition_files(name, "bucket")
+    known = {r["bucket"]: r for r in lake.read(profile, PROFILE).collect() if files.get(r["bucket"]) == r["files"]}  # one row a bucket
 
+    def profiled(buckets: list[str]) -> dict:
+        rows = lake.read(name).filter(F.col("bucket").cast("string").isin(buckets))
+        return {r["bucket"]: r for r in null_profile(rows, columns, "bucket", score).collect()}
 
-def load_silver(lake: Lake, as_of=None) -> int:
-    """Bronze changes to silver, each table with its own reader; returns the rows written."""
+    stale = sorted(set(files) - set(known))
+    fresh = profiled(stale) if stale else {}
+    looked = sum(r["rows"] for r in fresh.values())
+    known |= fresh
+    rows, nulls = sum(r["rows"] for r in known.values()), sum(r["null_rows"] for r in known.values())
+    todo = sorted(b for b, r in known.items() if r["unmarked"]) if rows and nulls / rows > threshold else []
+    marked = sum(known[b]["unmarked"] for b in todo)
+    if todo:
+        lake.rewrite_partitions(name, mark_nulls(lake.read(name).filter(F.col("bucket").cast("string").isin(todo)), columns, score), "bucket")
+        files = lake.partition_files(name, "bucket")
+        known |= profiled(todo)
+    if stale or todo:
+        kept = [(b, files[b], r["rows"], r["valid"], r["null_rows"], r["unmarked"]) for b, r in sorted(known.items())]
+        lake.replace(profile, lake.spark.createDataFrame(kept, PROFILE).coalesce(1))
+    return looked, marked, rows, sum(r["valid"] for r in known.values())
 
-    def load() -> None:
-        for kind, make in _SILVER.items():
-            name = f"bronze_{kind}"
-            if lake.exists(change_log(name)):
-                handler = upsert_into(lake, f"silver_{kind}", _BRONZE[kind][1], VERSION, lambda rows, make=make: make(rows, as_of))
-                run_available(change_stream(lake, name), fan_out(handler), lake.path(f"_checkpoints/silver_{kind}"))
 
-    return _added(lake, [change_log(f"silver_{kind}") for kind in _SILVER], load)
+def _gate(lake: Lake, layer: str, gates: dict, threshold: float, score: float | None) -> monitor.StepResult:
+    found = [gate_nulls(lake, f"{layer}_{kind}", columns, threshold, score) for kind, columns in gates.items() if lake.exists(f"{layer}_{kind}")]
+    looked, marked, rows, valid = (sum(f[i] for f in found) for i in range(4))
+    return monitor.StepResult(looked, affected=marked, checked=looked, score=_score(valid, rows))
 
 
-def _gate(lake: Lake, layer: str, gates: dict, gate: Callable) -> int:
-    """Mark rows with NULLs where their share is too high; rewrites only the partitions that change, returns the rows looked at."""
-    seen = 0
-    for kind, columns in gates.items():
-        name = f"{layer}_{kind}"
-        if not lake.exists(name):
-            continue
-        rows = lake.read(name)
-        seen += rows.count()
-        gated = gate(rows, kind)
-        marked = gated.filter(null_in(columns) & (F.col("data_quality_status") == INVALID))
-        before = rows.filter(null_in(columns) & (F.col("data_quality_status") == INVALID))
-        if marked.count() != before.count() or layer == "silver":
-            touched = [row[0] for row in marked.select("bucket").distinct().collect()]  # bounded by the bucket count
-            if touched:
-                lake.rewrite_partitions(name, gated.filter(F.col("bucket").isin(touched)), "bucket")
-    return seen
+def gate_bronze(lake: Lake) -> monitor.StepResult:
+    return _gate(lake, "bronze", bronze.GATED, NULL_SHARE_BRONZE, None)
 
 
-def gate_bronze(lake: Lake) -> int:
-    return _gate(lake, "bronze", bronze.GATED, bronze.gate)
+def gate_silver(lake: Lake) -> monitor.StepResult:
+    return _gate(lake, "silver", silver.GATED, NULL_SHARE_SILVER, SCORE_GATE_INVALID)
 
 
-def gate_silver(lake: Lake) -> int:
-    return _gate(lake, "silver", silver.GATED, silver.gate)
+def _refreshed(lake: Lake, names: list[str]) -> monitor.StepResult:
+    rows = lake.counts.total(names)
+    graded = [n for n in names if "valid" in lake.counts.tables[n]]
+    score = _score(lake.counts.total(graded, "valid"), lake.counts.total(graded))
+    return monitor.StepResult(rows, checked=rows, score=score, lag_minutes=lake.counts.largest(names, "lag_minutes"))
 
 
-def refresh_gold(lake: Lake, as_of=None) -> int:
+def refresh_gold(lake: Lake, as_of=None) -> monitor.StepResult:
     players, deliveries, matches = (lake.read(f"silver_{kind}") for kind in ("player", "delivery", "match"))
     made = {
         "gold_player_dim": gold.player_dim(players, as_of),
@@ -98,22 +140,22 @@ def refresh_gold(lake: Lake, as_of=None) -> int:
     }
     for name, df in made.items():
         lake.replace(name, df, CLUSTER_KEYS[name])
-    return _count(lake, *made)
+    return _refreshed(lake, list(made))
 
 
-def refresh_marts(lake: Lake, as_of=None) -> int:
+def refresh_marts(lake: Lake, as_of=None) -> monitor.StepResult:
     players, deliveries, matches = (lake.read(n) for n in ("gold_player_dim", "gold_delivery_fact", "gold_match_dim"))
     lake.replace("player_performance", marts.player_performance(players, deliveries, matches, as_of), CLUSTER_KEYS["player_performance"])
     lake.replace("match_summary", marts.match_summary(matches, deliveries, as_of), CLUSTER_KEYS["match_summary"])
-    return _count(lake, "player_performance", "match_summary")
+    return _refreshed(lake, ["player_performance", "match_summary"])
 
 
-def validate_marts(lake: Lake) -> tuple[int, str]:
+def validate_marts(lake: Lake) -> monitor.StepResult:
     """Rows of all gold tables, and WARNING where a required one is empty."""
     required = {n: lake.read(n) for n in ("gold_player_dim", "gold_delivery_fact", "gold_match_dim")}
     others = {n: lake.read(n) for n in ("player_performance", "match_summary")}
     found = monitor.mart_validation(required, others).first()
-    return found["rows_processed"], found["status"]
+    return monitor.StepResult(found["rows_processed"], affected=0, checked=found["rows_processed"], status=found["status"])
 
 
 def run_layers(spark, source: str, root: str, as_of=None) -> Lake:

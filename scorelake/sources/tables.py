@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.sources.layout import bloom_options, curve_layout
+from scorelake.sources.observed import WriteCounts
 
 
 class Lake:
@@ -14,6 +17,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.counts = WriteCounts()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -34,14 +38,11 @@ class Lake:
         return self.spark.read.parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        writer = df.write.mode("append")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
+        self._write(name, df, "append", partition_by)
 
     def replace(self, name: str, df: DataFrame, cluster_by: list[str] | None = None, partition_by: list[str] | None = None) -> None:
         """Full refresh from other tables, laid out by ``cluster_by``."""
-        laid_out = clustered(df, cluster_by) if cluster_by else df
-        writer = laid_out.write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
+        self._write(name, clustered(df, cluster_by) if cluster_by else df, "overwrite", partition_by)
 
     def replace_curved(self, name: str, df: DataFrame, columns: list[str], files: int, lookups: list[str] | None = None) -> None:
         """Full refresh laid out so that a filter on any of ``columns`` prunes files, and one value of a ``lookups`` column row groups.
@@ -49,16 +50,29 @@ class Lake:
         ``df`` is read three times (count, sample, write), so it should be a stored table.
         """
         options = bloom_options(lookups, df.count() // files) if lookups else {}
-        curve_layout(df, columns, files).write.mode("overwrite").options(**options).parquet(self.path(name))
+        self._write(name, curve_layout(df, columns, files), "overwrite", None, options)
 
     def rewrite_partitions(self, name: str, df: DataFrame, partition: str) -> None:
         """Overwrite only the partitions present in ``df``, which may be read from the same table."""
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(self.path(name))
-        )
+        self._write(name, df, "overwrite", [partition], {"partitionOverwriteMode": "dynamic"})
+
+    def _write(self, name: str, df: DataFrame, mode: str, partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> None:
+        """Write and count in one job; ``counts`` tells what was written."""
+        rows, seen = self.counts.observed(df)
+        rows.write.mode(mode).options(**options or {}).partitionBy(*partition_by or []).parquet(self.path(name))
+        self.counts.add(name, seen)
+
+    def partition_files(self, name: str, partition: str) -> dict[str, str]:
+        """Per partition folder the names of its files, as one text; a rewrite always changes it."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs, found = root.getFileSystem(conf), {}
+        for folder in fs.listStatus(root):
+            label, _, value = folder.getPath().getName().partition("=")
+            if label == partition:
+                names = sorted(f.getPath().getName() for f in fs.listStatus(folder.getPath()))
+                found[value] = hashlib.sha256("\n".join(names).encode()).hexdigest()
+        return found
 
     def drop_partitions(self, name: str, partition: str, values: list) -> None:
         """Remove whole partitions; a rewrite leaves those alone that have no row any more."""

@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scorelake.fixed_values import VALID
 from scorelake.operators.digests import differences
 from scorelake.operators.distinct import dense_ids, distinct_bitmaps, distinct_counts, rolled_up
 from scorelake.operators.images import changes_between, net_changes
 from scorelake.operators.joins import cross_filtered
 from scorelake.operators.positions import lag_in_groups, number_in_groups, range_buckets, rolling_in_groups
-from scorelake.plans import bronze, maintain, star
-from scorelake.plans.refresh import VERSION
+from scorelake.plans import bronze, maintain, monitor, star
+from scorelake.plans.refresh import VERSION, gate_nulls
 from scorelake.session import fresh_dir
 from scorelake.sources.documents import accepted_raw, raw_projection, rejected_documents
 from scorelake.sources.json_arrays import array_documents
 from scorelake.sources.tables import Lake
-from scorelake.streaming.changes import upsert_into
+from scorelake.streaming.changes import change_log, upsert_into
 from scorelake.workload.dimension_queries import _clean, _with_facts, build_star, with_star
 from scorelake.workload.layer_queries import AS_OF, Layers, with_layers
 from scorelake.workload.match_docs import match_texts
-from scorelake.workload.registry import query
+from scorelake.workload.registry import query, rounded
 
 # --- change logs ------------------------------------------------------------------------------
 
@@ -222,6 +223,44 @@ def match_fact_two_documents(t):
     )
 
 
+# --- run metrics ------------------------------------------------------------------------------
+
+
+@query(
+    "run_metrics", "L4 L6 L9 I10",
+    f"""
+    WITH n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (o_orderkey % 50 = 0) AS nulls, COUNT(*) FILTER (o_orderkey % 4 <> 0) AS stored,
+      COUNT(*) FILTER (o_orderkey % 4 = 0) AS added, COUNT(*) FILTER (o_orderkey % 4 <> 0 AND o_orderkey % 3 = 0) AS newer FROM orders)
+    SELECT 'first_load' AS task_name, stored AS rows_processed, 0::BIGINT AS rows_affected, NULL::BIGINT AS records_checked, NULL::DOUBLE AS data_quality_score FROM n
+    UNION ALL SELECT 'second_load', added + newer, newer, NULL, NULL FROM n
+    UNION ALL SELECT 'gate', n, nulls, n, {rounded("(n - nulls) * 1.0 / n", 4)} FROM n
+    UNION ALL SELECT 'gate_again', 0, 0, 0, {rounded("(n - nulls) * 1.0 / n", 4)} FROM n""",
+)
+def run_metrics(t):
+    """The run log of two loads and two gates, with the counts that the writes themselves delivered; the second gate finds no changed bucket."""
+    lake = Lake(t.spark, fresh_dir(t.spark, "metrics"))
+    rows = t.orders.select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderstatus")).alias("status"), F.lit(VALID).alias("data_quality_status"),
+        F.lit(1.0).alias("data_quality_score"), F.col("o_orderdate").alias("version"),
+    )
+    newer = F.when(F.col("o_orderkey") % 3 == 0, F.col("version") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("version"))
+    upsert, log = upsert_into(lake, "orders", ["o_orderkey"], "version", buckets=8), change_log("orders")
+
+    def load(batch, label):
+        upsert(batch, label)
+        return monitor.StepResult(lake.counts.total([log]), affected=lake.counts.total([log], "update"))
+
+    def gate():
+        looked, marked, n, valid = gate_nulls(lake, "orders", ["status"], 0.01, 0.3)
+        return monitor.StepResult(looked, affected=marked, checked=looked, score=round(valid / n, 4))
+
+    monitor.logged(lake, "first_load", lambda: load(rows.filter("o_orderkey % 4 <> 0"), 1))
+    monitor.logged(lake, "second_load", lambda: load(rows.withColumn("version", newer).filter("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"), 2))
+    monitor.logged(lake, "gate", gate)
+    monitor.logged(lake, "gate_again", gate)
+    return lake.read("run_log").select("task_name", "rows_processed", "rows_affected", "records_checked", "data_quality_score")
+
+
 # --- files ------------------------------------------------------------------------------------
 
 _PER_ARRAY = 2000

@@ -16,6 +16,11 @@ def test_layers_from_files_to_marts(spark, tmp_path):
     write(source, "bad.json", "{")
     lake = run_layers(spark, str(source), root, AS_OF)
     counts = lambda: {n: lake.read(n).count() for n in ("bronze_player", "bronze_delivery", "silver_delivery", "gold_delivery_fact", "match_summary")}
+    log = {r.task_name: r for r in lake.read("run_log").collect()}
+    raw, stored = log["load_raw"], log["load_bronze"]
+    assert (raw.rows_processed, raw.rows_affected, raw.records_checked, raw.data_quality_score) == (3, 2, 3, 0.6667)
+    assert (stored.rows_processed, stored.rows_affected, stored.records_checked) == (22, 22, 2) and stored.stream_lag_hours is not None
+    assert log["refresh_gold"].dynamic_table_lag_minutes == 0 and log["silver_validation"].records_checked > 0
     first = counts()
     assert first == {"bronze_player": 8, "bronze_delivery": 12, "silver_delivery": 12, "gold_delivery_fact": 12, "match_summary": 2}
     summary = lake.read("match_summary").orderBy("match_summary_id").collect()
