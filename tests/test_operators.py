@@ -154,3 +154,37 @@ def test_logged_actions_and_reused_labels(spark, tmp_path):
     for _ in range(2):
         handle(rows([None], 1), 2)
     assert lake.read("t").count() == 401 and lake.read("t__changes").count() == 451
+
+
+def test_merge_of_a_large_batch_shuffles_each_side_once_and_gives_the_same(spark):
+    stored = spark.range(400).select(
+        F.when(F.col("id") % 9 != 0, F.col("id") % 150).alias("a"), F.when(F.col("id") % 7 != 0, F.col("id") % 3).alias("b"),
+        (F.col("id") % 5).alias("v"), F.concat(F.lit("t"), "id").alias("x"), F.lit("kept").alias("y"),
+    )
+    source = spark.range(300).select(
+        F.when(F.col("id") % 8 != 0, F.col("id") % 200).alias("a"), (F.col("id") % 3).alias("b"), (F.col("id") % 11).alias("v"),
+        F.concat(F.lit("s"), "id").alias("x"), F.lit("new").alias("y"),
+    )
+    for how in ({}, {"match_nulls": True}, {"update": ["x"]}, {"update": ["x"], "stamp": {"y": F.lit("stamped")}}):
+        got = upsert_newer(stored, source, ["a", "b"], "v", large_batch=True, **how)
+        same(got, upsert_newer(stored, source, ["a", "b"], "v", **how))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert_newer(stored, source, ["a", "b"], "v", match_nulls=True, large_batch=True)
+        assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_documents_are_stored_whole(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    key = "spark.sql.variant.writeShredding.enabled"
+    before = spark.conf.get(key)
+    lake = Lake(spark, str(tmp_path))
+    rows = spark.range(50).select("id", F.parse_json(F.concat(F.lit('{"a": {"b": '), "id", F.lit("}}"))).alias("doc"))
+    lake.replace("raw", rows)
+    stored = pq.read_schema(next(tmp_path.glob("raw/*.parquet")))
+    assert "typed_value" not in str(stored.field("doc").type) and spark.conf.get(key) == before
+    assert lake.read("raw").select(F.variant_get("doc", "$.a.b", "int").alias("b")).agg(F.sum("b")).first()[0] == 1225
