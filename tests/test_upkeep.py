@@ -15,7 +15,7 @@ from scorelake.plans import maintain, star
 from scorelake.plans.gold import DOCUMENT
 from scorelake.plans.refresh import run_star
 from scorelake.sources.documents import file_texts, split_documents
-from scorelake.sources.json_arrays import array_documents
+from scorelake.sources.json_arrays import _lines, _pieces, array_documents
 from scorelake.sources.tables import Lake
 from tests.docs import document, write
 
@@ -116,6 +116,17 @@ def test_a_broken_document_costs_only_itself(spark, tmp_path):
     ]
 
 
+def test_whole_lines_are_not_scanned(spark, tmp_path):
+    lines = [json.dumps({"id": i, "l": [{"a": "}{"}, {}]}) for i in range(40)]
+    lines[7] += ", " + lines[8]  # two documents in a line
+    lines[9] = lines[9][:12]  # a broken one
+    write(tmp_path / "in", "a.json", "[\n" + ",\n".join(lines) + "\n]")
+    left = _lines(_pieces(spark, str(tmp_path / "in"))).filter("NOT single").selectExpr("size(pieces) AS n").collect()
+    assert len(left) <= 12 and sum(r.n for r in left) <= 20  # of 164 pieces: lines 7 and 9, the brackets and the last line
+    rows = array_documents(spark, str(tmp_path / "in")).selectExpr("stg_file_row_number AS r", "try_variant_get(doc, '$.id', 'int') AS id").collect()
+    assert sorted((r.r, r.id) for r in rows) == list(enumerate([*range(8), 8, 8, None, *range(10, 40)], 1))
+
+
 def test_ranges_cut_a_hot_key_evenly(spark):
     rows = spark.range(20_000).selectExpr("id", "IF(id % 10 = 0, id % 7, 1) AS k", "DATE '2024-01-05' AS day")
     cut = range_buckets(rows, ["k"], ["day", "id"], parts=16)
