@@ -17,6 +17,13 @@ def test_title_case_breaks_on_punctuation(spark):
     assert one(spark, "m.a. x-y", "string", title_case(F.col("x"), punctuation=False)) == "M.a. X-y"
 
 
+def test_ascii_text_is_cased_without_cutting_words(spark):
+    plan = spark.range(1).select(title_case(F.concat(F.lit("o'NEIL x-RAY\tb.C "), F.col("id").cast("string"))).alias("y"))
+    assert plan.first().y == "O'neil X-Ray\tB.C 0" and "initcap" in plan._jdf.queryExecution().optimizedPlan().toString()
+    for text, want in [("a\x01 b.c", "A\x01 B.C"), ("éa.ß x", "Éa.SS X"), ("..a--1b(c", "..A--1b(C")]:
+        assert one(spark, text, "string", title_case(F.col("x"))) == want
+
+
 def test_cleaning_variants_differ_on_white_space(spark):
     x = F.col("x")
     assert one(spark, " a \t  b ", "string", clean_text(x, "Unknown")) == "A B"
