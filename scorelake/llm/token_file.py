@@ -35,7 +35,7 @@ from scorelake.llm.common import default_partitions, release, stored, text_batch
 
 MAGIC = b"TIDS0002"
 BLOCK = 1024
-FILE_IDS = 3 << 20
+FILE_IDS = 5 << 20  # its blocks advance together, so more of them share the cost of a step
 PARTITION_BYTES = 24 << 20
 TASKS_PER_PARTITION = 8  # of the session's shuffle partitions, at most
 SLOTS = 1024  # of a context table, per block
@@ -46,7 +46,7 @@ _FULL = np.uint64(1 << 48)
 _TOP = np.uint64((1 << 64) - 1)
 _MIX, _SHIFT, _FIRST = np.uint64(MIX_BITS), np.uint64(16), np.uint64(48)
 _AT_ONCE = 10 << 20  # bytes of text whose words are looked up together
-_REMEMBERED_BYTES = 24 << 20
+_REMEMBERED_BYTES = 48 << 20
 _WORD_COST = 190  # bytes of memory that a remembered piece takes beside its characters and ids
 _JOINED = 512
 

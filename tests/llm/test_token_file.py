@@ -86,3 +86,9 @@ def test_empty_table(spark):
     folder = new_folder(spark, "ids")
     files = token_file.write_token_files(table(spark, awkward()).where(F.lit(False)), PATH, folder, 2)
     assert token_file.read_token_files(spark, files, folder).count() == 0
+
+
+def test_enough_blocks_advance_together():
+    """A step over few blocks costs about as much as one over many; 3,072 blocks a file were too few for the budget."""
+    assert token_file.FILE_IDS // token_file.BLOCK >= 5000
+    assert token_file._REMEMBERED_BYTES >= 200_000 * (token_file._WORD_COST + 16)  # the common words of a large corpus
