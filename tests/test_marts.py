@@ -30,6 +30,10 @@ def test_deliveries_are_shuffled_once_for_the_summary(deliveries):
     assert _exchanges(marts.document_sums(deliveries)) == 1
 
 
+def test_partitions_of_the_summary_are_not_merged(deliveries):
+    assert "REPARTITION_BY_NUM" in str(marts.document_sums(deliveries)._jdf.queryExecution().executedPlan())
+
+
 def test_sums_and_leaders_per_document(deliveries):
     got = {(r.stg_file_hashkey, r.stg_file_row_number): r for r in marts.document_sums(deliveries).collect()}
     groups = defaultdict(list)
