@@ -47,6 +47,30 @@ def test_items_longer_than_a_window_are_found(spark):
     assert got == {k: [k] for k, _ in long} | {1: [], 2: []}
 
 
+def test_the_space_is_fitted_on_all_documents(spark, monkeypatch):
+    import numpy as np
+
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    some = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = decontaminate.Items.of([(i, some(40)) for i in range(40)])
+    texts = [*(some(r.choice([3, 60, 64, 65, 150])) for _ in range(2300)), *[some(70)] * 3, "", None, "nothing known here"]
+    docs = table(spark, list(enumerate(texts)))
+    got = decontaminate.latent_space(docs, "text", items)
+    weights, terms = decontaminate.term_weights(docs, "text", items), len(items.terms)
+    passages = [n[s : s + 64] for n in [*items.texts, *map(items.numbers, texts)] for s in range(0, len(n), 64)]
+    counts = np.array([np.bincount(p[p >= 0], minlength=terms) for p in passages], dtype=float) * (weights > 0)
+    test = np.random.default_rng(6).standard_normal((terms, min(decontaminate.RANK, terms))) * (weights > 0)[:, None]
+    basis, _ = np.linalg.qr(weights[:, None] * (counts.T @ (counts @ test)))
+    want = weights[:, None] * basis
+    assert (weights > 0).sum() > decontaminate.RANK and np.allclose(got @ got.T, want @ want.T, rtol=1e-3, atol=1e-3 * np.abs(want @ want.T).max())
+    known = [items.numbers(t) for t in texts]
+    paired, n = decontaminate._gram(iter(known), test)
+    monkeypatch.setattr(decontaminate, "PAIRED", 0)
+    multiplied, m = decontaminate._gram(iter(known), test)
+    assert n == m == len(passages) - len(items.texts) and np.allclose(paired, multiplied)
+
+
 def test_subsequence_length():
     import numpy as np
 
