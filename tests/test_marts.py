@@ -67,3 +67,32 @@ def test_matches_without_deliveries_stay_and_are_numbered(spark, deliveries):
     assert [(r.match_summary_id, str(r.event_date), r.total_deliveries) for r in rows] == [(1, "2024-01-03", 2), (2, "2024-01-02", 4), (3, "2024-01-01", 0)]
     assert (rows[1].first_team_runs, rows[1].second_team_runs, rows[1].first_team_wickets) == (8, 6, 2)
     assert rows[2].highest_run_scorer is None and rows[2].first_team_runs == 0 and rows[2].total_runs_scored is None
+
+
+def test_rolling_sums_reach_over_buckets(spark):
+    from scorelake.operators.positions import rolling_sums
+
+    rows = [(k, None if i % 13 == 5 else i * 2 + (i % 4 > 1), None if i % 7 == 3 else i) for k in ("a", "b", None) for i in range(40 if k else 3)]
+    df = spark.createDataFrame(rows, "k string, at int, v int")
+    got = rolling_sums(df, ["k"], [F.col("at").asc_nulls_last(), F.col("v").asc_nulls_first()], F.floor(F.col("at") / 6), "v", 5, "s", "n", nulls_first=False).collect()
+    want = []
+    for key in ("a", "b", None):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is None, r[1] or 0, r[2] is not None, r[2] or 0))
+        for i, r in enumerate(own):
+            values = [x[2] for x in own[max(0, i - 4) : i + 1] if x[2] is not None]
+            want.append((*r, sum(values) if values else None, len(values)))
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
+def test_members_without_a_match_keep_one_row(spark, deliveries):
+    players = spark.createDataFrame([("p", "A", True), ("p", "Z", True), ("nobody", "B", True), ("q", None, True), ("x", "B", False)], "player_name string, country string, is_latest boolean")
+    matches = spark.createDataFrame([("h1", 1, "f", "A", "B"), ("h2", 1, "g", "A", "B")], "stg_file_hashkey string, stg_file_row_number int, stg_file_name string, first_team string, second_team string").selectExpr("*", "date'2001-01-02' as event_date")
+    got = marts.player_performance(players, deliveries.selectExpr("*", "7 as match_type_number"), matches, "2001-09-01 00:00:00").collect()
+    assert Counter((r.player_name, r.country, r.match_type_number, r.runs_scored, r.rolling_5_match_avg) for r in got) == Counter([
+        ("p", "A", 7, 4, 4.0), ("p", "A", 7, 0, 2.0), ("p", "A", 7, 1, 1.67), ("p", "Z", None, 0, 0.0), ("nobody", "B", None, 0, 0.0), ("q", None, None, 0, 0.0)
+    ])
+
+
+def test_deliveries_are_shuffled_once_for_the_players(spark, deliveries):
+    matches = spark.createDataFrame([("h1", 1, "f", "A", "B", None)], "stg_file_hashkey string, stg_file_row_number int, stg_file_name string, first_team string, second_team string, event_date date")
+    assert _exchanges(marts.player_stats(deliveries.selectExpr("*", "7 as match_type_number"), matches)) == 2
