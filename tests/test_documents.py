@@ -106,3 +106,29 @@ def test_periodic_batches(spark, tmp_path):
         assert stream_status(query)["active"]
     finally:
         query.stop()
+
+
+def test_a_stream_of_files_is_cut_by_bytes_and_a_load_by_content_shuffles_no_text(spark, tmp_path, monkeypatch):
+    from scorelake.session import pinned
+    from scorelake.sources.tables import Lake
+    from scorelake.streaming import ingest
+
+    source = tmp_path / "in"
+    source.mkdir()
+    for i in range(6):
+        (source / f"{i}.json").write_text('{"meta": {"a": %d}, "info": {"b": "%s"}, "innings": []}' % (i // 2, "x" * 500))
+    (source / "bad.json").write_text("{")
+    monkeypatch.setattr(ingest, "BATCH_BYTES", 1200)
+    streamed = Lake(spark, str(tmp_path / "streamed"))
+    ingest.stream_files(streamed, str(source), str(tmp_path / "checkpoint"))
+    assert streamed.read("raw").count() == 6 and streamed.read("rejects").count() == 1
+    assert streamed.read("raw").select("batch_id").distinct().count() > 1
+
+    found = []
+    monkeypatch.setattr(ingest, "pinned", lambda df: found.append(df) or pinned(df), raising=False)
+    loaded = Lake(spark, str(tmp_path / "loaded"))
+    for rows in (3, 3):  # copies under other names load once, a second load nothing
+        ingest.load_unseen(loaded, str(source))
+        assert loaded.read("raw").count() == rows and loaded.read("rejects").count() == 1
+    assert sorted(r.stg_file_name[-6:] for r in loaded.read("raw").collect()) == ["0.json", "2.json", "4.json"]
+    assert found and all("value" not in df.columns for df in found)
