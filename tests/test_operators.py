@@ -188,3 +188,28 @@ def test_documents_are_stored_whole(spark, tmp_path):
     stored = pq.read_schema(next(tmp_path.glob("raw/*.parquet")))
     assert "typed_value" not in str(stored.field("doc").type) and spark.conf.get(key) == before
     assert lake.read("raw").select(F.variant_get("doc", "$.a.b", "int").alias("b")).agg(F.sum("b")).first()[0] == 1225
+
+
+@pytest.mark.parametrize("match_nulls", [False, True])
+def test_a_large_batch_inserts_what_is_missing(spark, match_nulls):
+    target = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "z")], "k int, v string")
+    batch = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "b", 3), (2, None, 4), (None, "z", 5), (3, "c", 6)], "k int, v string, n int")
+    got = insert_missing(target, batch, ["k", "v"], match_nulls=match_nulls, large_batch=True)
+    assert sorted(r.n for r in got.collect()) == ([2, 3, 6] if match_nulls else [2, 3, 4, 5, 6])
+    again = insert_missing(batch, batch, ["k", "v"], match_nulls=match_nulls, large_batch=True)
+    assert again.count() == (0 if match_nulls else 2)
+    assert str(again._jdf.queryExecution().executedPlan()).count("Join") == 1
+
+
+def test_pinned_rows_take_less_room_than_a_checkpoint(spark, tmp_path):
+    from pathlib import Path
+
+    from scorelake.session import pinned, shared_dir
+
+    size = lambda: sum(p.stat().st_size for p in Path(shared_dir(spark).removeprefix("file:")).rglob("*") if p.is_file())
+    rows = spark.range(20_000).select("id", F.repeat(F.lit("some text "), 20).alias("text"), F.lit(None).cast("string").alias("none"))
+    before = size()
+    kept = pinned(rows)
+    assert size() - before < 1_000_000 and kept.schema.fieldNames() == rows.schema.fieldNames()
+    assert kept.count() == 20_000 and kept.exceptAll(rows).isEmpty()
+    assert pinned(rows.limit(0)).count() == 0 and pinned(rows.select(F.lit(None).alias("void"))).count() == 20_000
