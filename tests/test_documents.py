@@ -132,3 +132,17 @@ def test_a_stream_of_files_is_cut_by_bytes_and_a_load_by_content_shuffles_no_tex
         assert loaded.read("raw").count() == rows and loaded.read("rejects").count() == 1
     assert sorted(r.stg_file_name[-6:] for r in loaded.read("raw").collect()) == ["0.json", "2.json", "4.json"]
     assert found and all("value" not in df.columns for df in found)
+
+
+def test_pieces_of_array_files_are_not_shuffled_by_file(spark, tmp_path):
+    from scorelake.sources import json_arrays
+
+    (tmp_path / "a.json").write_text('[\n{"a": 1},\n{"a": 2}\n]')
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pieces = json_arrays._pieces(spark, str(tmp_path))
+        assert "SortMergeJoin" not in str(pieces._jdf.queryExecution().executedPlan())
+        assert [(r.text, r.starts, r.closes) for r in pieces.orderBy("block", "seq", "sub").collect() if "{" in r.text] == [('{"a": 1', True, True), ('{"a": 2', True, True)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
